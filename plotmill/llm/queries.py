@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from plotmill.llm.canonical import map_to_canonical
 from plotmill.llm.frequency import term_counts
 from plotmill.llm.groups import grouped_splits
+from plotmill.llm.leakage import leaked_passages
+from plotmill.llm.pairs import flag_pairs
 from plotmill.llm.splitting import split_oversized
 from plotmill.session import table
 
@@ -37,6 +39,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_terms(spark, sf_dir).filter("mark IS NOT NULL").select("field", "term", "mark")
 
 
+def p6_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "prompts").select("record_id", F.col("prompt")["prompt"].alias("prompt"), F.col("prompt")["story"].alias("story"))
+    return flag_pairs(rows, "prompt", "story")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_defects(spark, sf_dir).filter("rank = 1").select("record_id", "defect")
+
+
 def p7_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_splits(table(spark, sf_dir, "prompts"), table(spark, sf_dir, "authors"))
 
@@ -45,12 +56,24 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_splits(spark, sf_dir).select("record_id", "group_id")
 
 
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 QUERIES = {
     "p3_pieces": p3_pieces,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p5_terms": p5_terms,
     "p5_found": p5_found,
+    "p6_defects": p6_defects,
+    "p6_found": p6_found,
     "p7_splits": p7_splits,
     "p7_found": p7_found,
+    "p8_leaks": p8_leaks,
+    "p8_found": p8_found,
 }
