@@ -9,6 +9,7 @@ from plotmill.llm.canonical import map_to_canonical
 from plotmill.llm.frequency import term_counts
 from plotmill.llm.groups import grouped_splits
 from plotmill.llm.leakage import leaked_passages
+from plotmill.llm.mixing import mix_sources
 from plotmill.llm.pairs import flag_pairs
 from plotmill.llm.splitting import split_oversized
 from plotmill.session import table
@@ -64,6 +65,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).report
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).documents
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_shares(spark, sf_dir).filter("short").select("source")
+
+
 QUERIES = {
     "p3_pieces": p3_pieces,
     "p3_found": p3_found,
@@ -76,4 +89,7 @@ QUERIES = {
     "p7_found": p7_found,
     "p8_leaks": p8_leaks,
     "p8_found": p8_found,
+    "p9_shares": p9_shares,
+    "p9_mixture": p9_mixture,
+    "p9_found": p9_found,
 }
