@@ -11,6 +11,7 @@ from plotmill.llm.groups import grouped_splits
 from plotmill.llm.leakage import leaked_passages
 from plotmill.llm.mixing import mix_sources
 from plotmill.llm.pairs import flag_pairs
+from plotmill.llm.residue import mark_residue, without_residue
 from plotmill.llm.splitting import split_oversized
 from plotmill.session import table
 
@@ -77,6 +78,18 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_shares(spark, sf_dir).filter("short").select("source")
 
 
+def p10_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_residue(table(spark, sf_dir, "documents"))
+
+
+def p10_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_residue(table(spark, sf_dir, "documents"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_marks(spark, sf_dir).filter("residue IS NOT NULL").select("doc_id", "residue")
+
+
 QUERIES = {
     "p3_pieces": p3_pieces,
     "p3_found": p3_found,
@@ -92,4 +105,7 @@ QUERIES = {
     "p9_shares": p9_shares,
     "p9_mixture": p9_mixture,
     "p9_found": p9_found,
+    "p10_marks": p10_marks,
+    "p10_corpus": p10_corpus,
+    "p10_found": p10_found,
 }
