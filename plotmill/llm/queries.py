@@ -12,6 +12,7 @@ from plotmill.llm.leakage import leaked_passages
 from plotmill.llm.mixing import mix_sources
 from plotmill.llm.pairs import flag_pairs
 from plotmill.llm.residue import mark_residue, without_residue
+from plotmill.llm.scans import repair_scans
 from plotmill.llm.splitting import split_oversized
 from plotmill.session import table
 
@@ -20,6 +21,19 @@ def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "prompts").select("record_id", F.col("prompt")["story"].alias("story"))
 
 
+def _pages(spark: SparkSession, sf_dir: str, rewrite: bool) -> DataFrame:
+    rows = table(spark, sf_dir, "prompts").select("record_id", F.col("prompt")["story"].alias("text"), F.col("story").alias("title"), F.col("prompt")["author"].alias("author"))
+    return repair_scans(rows, "record_id", "text", ["title", "author"], rewrite)
+
+
+def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir, True)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir, False).select("record_id", F.explode("noise").alias("noise"))
+
+
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(_stories(spark, sf_dir), "story", "record_id")
 
@@ -91,6 +105,8 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_repaired": p2_repaired,
+    "p2_found": p2_found,
     "p3_pieces": p3_pieces,
     "p3_found": p3_found,
     "p4_found": p4_found,
