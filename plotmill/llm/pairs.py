@@ -63,10 +63,10 @@ _AROUND = re.compile(
 _WORD = re.compile(r"[^\W_]+")
 _TERMINAL = re.compile(r"(?:[.!?…。！？؟।][\"'”’»«)\]}*_~]*|[\"”»)\]]|\*{1,3}|~|—\s*(?:end|fin|ende|fine)\W*)\s*$", re.I)
 _SENTENCES = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n+")
-_ZERO_WIDTH = re.compile("[​-‏⁠﻿­]")
+_ZERO_WIDTH = re.compile("[\u200b-\u200f\u2060\ufeff\u00ad]")
 _SCRIPTS = (
-    ("cyrillic", "Ѐ", "ԯ"), ("greek", "Ͱ", "Ͽ"), ("hebrew", "֐", "׿"), ("arabic", "؀", "ۿ"), ("devanagari", "ऀ", "ॿ"),
-    ("thai", "฀", "๿"), ("hangul", "가", "힯"), ("kana", "぀", "ヿ"), ("han", "一", "鿿"),
+    ("cyrillic", "Ѐ", "ԯ"), ("greek", "Ͱ", "Ͽ"), ("hebrew", "\u0590", "\u05ff"), ("arabic", "\u0600", "ۿ"), ("devanagari", "ऀ", "ॿ"),
+    ("thai", "\u0e00", "\u0e7f"), ("hangul", "가", "\ud7af"), ("kana", "\u3040", "ヿ"), ("han", "一", "鿿"),
 )
 _FOREIGN = re.compile("[" + "".join(f"{a}-{b}" for _, a, b in _SCRIPTS) + "]")
 

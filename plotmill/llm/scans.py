@@ -34,7 +34,7 @@ MOST_EDITS, MOST_CANDIDATES = 3, 400
 _WORD = re.compile(r"[^\W_]+")
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 _NUMERAL = re.compile(r"\d+(?:st|nd|rd|th|s)?")
-_HYPHENS = "-‐‑¬­"
+_HYPHENS = "-‐‑¬\u00ad"
 _SOURCES = sorted({wrong for _, wrong in MISREADINGS}, key=len, reverse=True)
 _REPAIRS: dict[str, list[str]] = {}
 for _right, _wrong in MISREADINGS:
@@ -394,7 +394,7 @@ def restore(story: str, hint: str, editor: Editor, rewrite: bool = True) -> Repa
     return Repair(sorted(found), unwrap(body, bool(removed)) if lines else body)
 
 
-_DIVIDED = re.compile(r"([^\W_]+)([-‐‑¬­])[ \t]*\n(?:[ \t]*\n)*[ \t]*([^\W\d_]+\S*)[ \t]*\n?")
+_DIVIDED = re.compile(r"([^\W_]+)([-‐‑¬\u00ad])[ \t]*\n(?:[ \t]*\n)*[ \t]*([^\W\d_]+\S*)[ \t]*\n?")
 
 
 def _starts_sentence(text: str, at: int) -> bool:

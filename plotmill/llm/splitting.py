@@ -14,7 +14,7 @@ LIMIT, OVERLAP = 2400, 200
 PARAGRAPH, SENTENCE, WORD, CHARACTER = 3, 2, 1, 0
 NAMES = {PARAGRAPH: "paragraph", SENTENCE: "sentence", WORD: "word", CHARACTER: "character"}
 
-_BREAK = re.compile(r"\s*[\r\n  ]\s*")
+_BREAK = re.compile(r"\s*[\r\n\u2028\u2029]\s*")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»«)\]}]*(?=\s)")
 _BLANK = re.compile(r"\s+")
 
