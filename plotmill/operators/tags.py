@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotmill.constants import ALIASES
@@ -37,26 +37,37 @@ def alias_record(record: Column, table: Mapping[str, Mapping[str, str]] = ALIASE
     return F.transform_values(record, mapped)
 
 
-def narrow_author(record: Column, popularity: Mapping[str, int], seed: int, *key: Column, least: int = 20) -> Column:
-    """J-8, X5: the one author a record keeps, from its similar writers that are popular enough; null where nothing changes.
+def popularity(records: DataFrame, record: str = "prompt", key: str = "similar writers") -> DataFrame:
+    """A10: `(name, n)`: how often each writer, in lower case, is named in a list."""
+    each = records.select(F.explode(F.split(F.col(f"`{record}`")[key], ",", -1)).alias("w")).select(F.lower(strip(F.col("w"))).alias("name"))
+    return each.filter("name <> ''").groupBy("name").agg(F.count("*").alias("n"))
 
-    `popularity` has names in lower case. Of several candidates one is drawn, the less popular the likelier; none gives `N/A`. Records that
-    name an author, or no similar writers, do not change, and an empty table changes nothing (Q-21).
+
+def narrow_authors(records: DataFrame, popular: DataFrame, key: str, record: str = "prompt", seed: int = 42, least: int = 20) -> DataFrame:
+    """J-8, X5: `(<key>, author)` for the records whose author changes: those that name none but name similar writers.
+
+    Candidates are the similar writers of which `popular` `(name, n)` counts more than `least`. Of several one is drawn, the less
+    popular the likelier (weight: the others' share of the sum); none gives `N/A`. With an empty table nothing changes (Q-21).
+    `key` must be unique.
     """
-    if not popularity:
-        return F.lit(None).cast("string")
-    counts = F.create_map(*(x for n, c in popularity.items() for x in (F.lit(n), F.lit(c))))
-    names = F.filter(F.transform(F.split(record["similar writers"], ",", -1), strip), lambda n: (F.coalesce(counts[F.lower(n)], F.lit(0)) > least) & (n != "N/A"))
-    total = F.aggregate(names, F.lit(0), lambda a, n: a + counts[F.lower(n)])
-    # weights total - count, which add up to total * (number - 1)
-    at = draw(seed, *key, "author") * total * (F.size(names) - 1)
+    col = F.col(f"`{record}`")
+    silent = records.filter((F.coalesce(col["author"], F.lit("")) == "") & (F.coalesce(col["similar writers"], F.lit("N/A")) != "N/A"))
+    if popular.isEmpty():
+        return records.limit(0).select(key, F.lit("").alias("author"))
+    each = silent.select(key, F.posexplode(F.split(col["similar writers"], ",", -1)).alias("i", "w")).select(key, "i", strip(F.col("w")).alias("writer"))
+    enough = popular.filter(F.col("n") > least).select("name", "n")
+    found = each.filter("writer <> 'N/A'").join(enough, F.lower("writer") == F.col("name")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "writer", "n"))).alias("c"))
+    return silent.select(key).join(found, key, "left").select(key, _drawn(F.col("c"), draw(seed, F.col(f"`{key}`").cast("string"), "author")).alias("author"))
+
+
+def _drawn(names: Column, at: Column) -> Column:
+    """One writer of `(i, writer, n)`, weighted by what the others count."""
+    total = F.aggregate(names, F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
     start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("string").alias("pick"))
 
-    def step(s: Column, n: Column) -> Column:
-        upto = s["sum"] + total - counts[F.lower(n)]
-        return F.struct(upto.alias("sum"), F.coalesce(s["pick"], F.when(at < upto, n)).alias("pick"))
+    def step(s: Column, x: Column) -> Column:
+        upto = s["sum"] + (total - x["n"])
+        return F.struct(upto.alias("sum"), F.coalesce(s["pick"], F.when(at * total * (F.size(names) - 1) < upto, x["writer"])).alias("pick"))
 
-    drawn = F.coalesce(F.aggregate(names, start, step, lambda s: s["pick"]), F.get(names, F.size(names) - 1))
-    choice = F.when(F.size(names) == 0, "N/A").when(F.size(names) == 1, F.get(names, 0)).otherwise(drawn)
-    silent = (F.coalesce(record["author"], F.lit("")) == "") & record["similar writers"].isNotNull() & (record["similar writers"] != "N/A")
-    return F.when(silent, choice)
+    drawn = F.coalesce(F.aggregate(names, start, step, lambda s: s["pick"]), F.get(names, F.size(names) - 1)["writer"])
+    return F.when(names.isNull(), "N/A").when(F.size(names) == 1, F.get(names, 0)["writer"]).otherwise(drawn)
