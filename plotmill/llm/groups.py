@@ -12,7 +12,9 @@ from plotmill.session import broadcast_if_small, cut_lineage
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 #: Bits of the subset-sum bitset; totals beyond it are counted in units of total / RESOLUTION records.
-RESOLUTION = 1 << 20
+RESOLUTION = 1 << 22
+#: Groups of one size that one task numbers, about.
+PER_BIN = 100_000
 MAX_ROUNDS = 60
 
 
@@ -49,7 +51,7 @@ def named_persons(df: DataFrame, authors: DataFrame, key: str = "record_id", map
     """
     surnames = authors.filter(F.col("name").isNotNull()).select(F.element_at(_words(F.col("name")), -1).alias("w"), "author_id").filter("w is not null")
     raw = F.col(f"`{map_column}`")[field]
-    held = df.filter(raw.isNotNull()).select(F.col(f"`{key}`").alias("key"), F.explode(F.array_distinct(_words(raw))).alias("w"))
+    held = df.filter(raw.isNotNull() & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.explode(F.array_distinct(_words(raw))).alias("w"))
     found = held.join(broadcast_if_small(surnames), "w").groupBy("key").agg(F.array_sort(F.collect_set("author_id")).alias("ids"))
     return found.withColumnRenamed("key", key)
 
@@ -117,8 +119,8 @@ def grouped_splits(
 
     Records are connected by common persons, directly or through others; `group_id` is the smallest person of the group.
     The first of `shares` is what remains once subset sums over whole groups came as near as possible to the others; among
-    groups of one size a hash of the group decides. Null maps, absent keys and values that name nobody give no row; repeated
-    rows count each; an empty table gives no rows.
+    groups of one size a hash of the group decides. Null maps, absent keys, values that name nobody and rows with a null key
+    give no row; rows with one key are one record; an empty table gives no rows.
     """
     shares = shares or SHARES
     named = cut_lineage(named_persons(df, authors, key, map_column, field).withColumnRenamed(key, "key"))
@@ -145,9 +147,13 @@ def _assign(groups: DataFrame, sizes: dict[int, int], shares: dict[str, float])
             bounds.append((name, size, used[size] + 1, used[size] + n))
             used[size] += n
             rest[size] -= n
-    # numbering within one size; all sizes of one group alone, the many small ones hashed apart by the window's partitioning
-    place = F.row_number().over(Window.partitionBy("records").orderBy(F.xxhash64("root"), "root"))
-    numbered = groups.withColumn("place", place)
+    # groups of one size are numbered by their hash, in bins of bounded size whose first numbers are sums over the bins before
+    bins = -(-max(sizes.values(), default=1) // PER_BIN)
+    binned = groups.withColumn("bin", F.pmod(F.xxhash64("root"), F.lit(bins)))
+    upto = F.sum("n").over(Window.partitionBy("records").orderBy("bin"))
+    before = binned.groupBy("records", "bin").agg(F.count("*").alias("n")).select("records", "bin", (upto - F.col("n")).alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("records", "bin").orderBy(F.xxhash64("root", F.lit(1)), "root"))
+    numbered = binned.join(broadcast_if_small(before), ["records", "bin"]).withColumn("place", place)
     split: Column = F.lit(names[0])
     if bounds:
         spark = groups.sparkSession

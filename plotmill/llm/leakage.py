@@ -18,7 +18,7 @@ def tokens(text: Column) -> Column:
 
 def _shingled(df: DataFrame, key: str, text: str) -> DataFrame:
     """`(id, words, i, h)`: a row for each shingle with its place from 1 and hash; texts shorter than a window have none."""
-    rows = df.filter(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), tokens(F.col(f"`{text}`")).alias("words")).filter(F.size("words") >= WINDOW)
+    rows = df.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), tokens(F.col(f"`{text}`")).alias("words")).filter(F.size("words") >= WINDOW)
     places = F.sequence(F.lit(1), F.size("words") - (SHINGLE - 1))
     hashes = F.transform(places, lambda i: F.xxhash64(*(F.element_at("words", i + k) for k in range(SHINGLE))))
     return rows.select("id", "words", F.posexplode(hashes).alias("i0", "h")).select("id", "words", (F.col("i0") + 1).alias("i"), "h")
@@ -31,8 +31,8 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id",
     them, so its necessary prefix is the single shingle that is rarest in the corpus. Documents are joined on these prefix
     shingles only; the shingle's place in the item and in the document then fixes where the window would have to lie (the
     positional bound), and the words there are compared one by one. `longest` is the longest common run through a match.
-    Null, empty and shorter texts leak nothing; repeated document rows with one id count once; columns other than those
-    named are not read.
+    Null, empty and shorter texts leak nothing, rows with a null key are left out; repeated rows with one key count once;
+    columns other than those named are not read.
     """
     if window < SHINGLE:
         raise ValueError("a window must hold at least one shingle")

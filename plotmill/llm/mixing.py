@@ -97,7 +97,8 @@ def mix_sources(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text:
     within the source: blocks of bounded size first, then what these leave undecided, until one block remains and lands.
     The report's columns are `source` as in `targets`, `weight`, `max_repeats`, `documents`, `tokens`, `wanted`, `capacity`, `short` (capacity below
     wanted), `mixed_tokens`, `mixed_documents` (copies), `share`. Documents with a null or blank source are left out, null texts have 0 tokens,
-    repeated rows count each, null weights are 0 and null `max_repeats` 1; an empty table gives a report of zeros.
+    repeated rows count each, null weights are 0 and null `max_repeats` 1, a source named
+    several times has the largest of its values; an empty table gives a report of zeros.
     """
     sized = cut_lineage(
         docs.select(F.col(f"`{key}`").alias("id"), source_key(F.col(f"`{source}`")).alias("key"), F.col(f"`{text}`").alias("text"))
@@ -105,7 +106,8 @@ def mix_sources(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text:
     )
     held = cut_lineage(sized.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents")))
     total = held.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"]
-    wanted = targets.select("source", source_key(F.col("source")).alias("key"), F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"))
+    named = targets.select("source", source_key(F.col("source")).alias("key"), F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"))
+    wanted = named.filter("key IS NOT NULL").groupBy("key").agg(F.min("source").alias("source"), F.max("weight").alias("weight"), F.max("max_repeats").alias("max_repeats"))
     plan = cut_lineage(
         wanted.join(held, "key", "left").fillna(0, ["tokens", "documents"])
         .withColumn("wanted", F.col("weight") * F.lit(float(total)))

@@ -10,6 +10,7 @@ from plotmill.llm.frequency import term_counts
 from plotmill.llm.groups import grouped_splits
 from plotmill.llm.leakage import leaked_passages
 from plotmill.llm.mixing import mix_sources
+from plotmill.llm.oracles import ORACLES  # noqa: F401
 from plotmill.llm.pairs import flag_pairs
 from plotmill.llm.residue import mark_residue, without_residue
 from plotmill.llm.scans import repair_scans
