@@ -14,8 +14,8 @@ from plotmill.functions.text import strip, token_count
 
 
 def clean_bytes(text: Column) -> Column:
-    """A text without byte-order mark and replacement characters."""
-    return F.regexp_replace(F.replace(text, F.lit("\ufffd"), F.lit("")), "^\ufeff", "")
+    """A text without byte-order mark and bytes that are no UTF-8 (nor the characters put for such)."""
+    return F.regexp_replace(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")), "^\ufeff", "")
 
 
 def opens(line: Column) -> Column:

@@ -12,9 +12,9 @@ from plotmill.functions.text import strip
 
 
 def parse_names(field: Column) -> Column:
-    """Names of a list, without those of which a part is in lower case; empty for null (Q-13)."""
+    """Names of a list, without those of which a part that is not empty is in lower case; empty for null (Q-13)."""
     raw = F.coalesce(field, F.lit(""))
-    kept = F.filter(F.split(raw, ",", -1), lambda n: ~F.exists(F.split(n, " ", -1), lambda p: (p == F.lower(p))))
+    kept = F.filter(F.split(raw, ",", -1), lambda n: ~F.exists(F.split(n, " ", -1), lambda p: (p != "") & (p == F.lower(p))))
     return F.when(raw == "", F.array().cast("array<string>")).otherwise(F.transform(kept, strip))
 
 

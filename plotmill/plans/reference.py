@@ -498,7 +498,7 @@ def narrow_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _names_sql(key: str) -> str:
     v = f"coalesce(prompt['{key}'], '')"
-    return f"CASE WHEN {v} = '' THEN []::VARCHAR[] ELSE list_transform(list_filter(string_split({v}, ','), lambda n: len(list_filter(string_split(n, ' '), lambda p: p = lower(p))) = 0), lambda n: {_strip('n')}) END"
+    return f"CASE WHEN {v} = '' THEN []::VARCHAR[] ELSE list_transform(list_filter(string_split({v}, ','), lambda n: len(list_filter(string_split(n, ' '), lambda p: p <> '' AND p = lower(p))) = 0), lambda n: {_strip('n')}) END"
 
 
 @query(f"SELECT record_id, array_to_string({_names_sql('male characters')}, '|') AS males, array_to_string({_names_sql('female characters')}, '|') AS females FROM prompts")

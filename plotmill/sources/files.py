@@ -24,7 +24,7 @@ def books(spark: SparkSession, folder: str) -> DataFrame:
 def scripts(spark: SparkSession, folder: str) -> DataFrame:
     """S3: `(script, text)`, one row for each UTF-16 `.ks` file directly in `folder`."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.ks").load(folder)
-    return rows.select(F.regexp_replace(_name(F.col("path"), 0), r"\.ks$", "").alias("script"), F.decode("content", F.lit("UTF-16")).alias("text"))
+    return rows.select(F.regexp_replace(_name(F.col("path"), 0), r"\.ks$", "").alias("script"), F.decode("content", "UTF-16").alias("text"))
 
 
 def tree(spark: SparkSession, *roots: str, endings: tuple[str, ...] = (".txt", ".json")) -> DataFrame:
