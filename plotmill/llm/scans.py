@@ -269,7 +269,7 @@ def _title(line: str) -> str | None:
     text = line.strip()
     if re.fullmatch(r"(?:[^\W\d_]\W? )+(?: +(?:[^\W\d_]\W? )*)*[^\W\d_]\W?", text + "") and len(re.findall(r"\b\w\b", text)) >= 4:
         text = " ".join(part.replace(" ", "") for part in re.split(r"\s{2,}", text))
-    if not 3 <= len(text) <= 70 or _HEADING.match(text) or text[0] in "-*•>\"“'" or re.search(r"[,;!?…”\"]$", text):
+    if not 3 <= len(text) <= 70 or _HEADING.match(text) or not text[0].isalpha() or text[0] in "-*•>\"“'" or re.search(r"[,;!?…”\"]$", text):
         return None
     words = re.findall(r"[^\W\d_]+(?:['’.][^\W\d_]*)*", text)
     if not words or len(words) > 10:
