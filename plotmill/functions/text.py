@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -58,6 +59,11 @@ def literal_map(pairs: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for kv in pairs.items() for x in kv))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` names it, even inside lambdas."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def lines(text: Column) -> Column:
     r"""Lines as divided by \n, \r\n or \r; a final line end opens no further line."""
     return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n", -1)

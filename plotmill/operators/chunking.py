@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotmill.constants import ABBREVIATED_TITLES
-from plotmill.functions.text import strip, token_count
+from plotmill.functions.text import let, strip, token_count
 
 
 def clean_bytes(text: Column) -> Column:
@@ -90,7 +90,9 @@ def pack(parts: Column, most: int) -> Column:
     state = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("first"))
 
     def step(s: Column, p: Column) -> Column:
-        size = token_count(p)
+        return let(token_count(p), lambda size: grow(s, size))
+
+    def grow(s: Column, size: Column) -> Column:
         fits = s["sum"] + size + 1 < most
         same = fits & (s["n"] > 0)
         return F.struct(
@@ -99,8 +101,10 @@ def pack(parts: Column, most: int) -> Column:
             F.when(same, s["first"]).otherwise(F.concat(s["first"], F.array(s["n"] + 1))).alias("first"),
         )
 
-    firsts = F.aggregate(parts, state, step, lambda s: s["first"])
-    return F.transform(firsts, lambda f, i: F.array_join(F.slice(parts, f, F.coalesce(F.get(firsts, i + 1), F.size(parts) + 1) - f), "\n"))
+    def joined(firsts: Column) -> Column:
+        return F.transform(firsts, lambda f, i: F.array_join(F.slice(parts, f, F.coalesce(F.get(firsts, i + 1), F.size(parts) + 1) - f), "\n"))
+
+    return F.aggregate(parts, state, step, lambda s: joined(s["first"]))
 
 
 def book_chunks(books: DataFrame, key: str, raw: str, most: int, exclude: bool = False) -> DataFrame:

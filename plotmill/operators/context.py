@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plotmill.constants import CONTINUATION_RATE
-from plotmill.functions.text import draw, lines, token_count
+from plotmill.functions.text import draw, let, lines, token_count
 
 
 def continues(seed: int, *key: Column, has_story: Column, rate: float = CONTINUATION_RATE) -> Column:
@@ -19,8 +19,10 @@ def split_context(text: Column) -> Column:
 
     One pass over token counts that are taken once per line.
     """
-    rows = lines(text)
-    sizes = F.transform(rows, token_count)
+    return let(lines(text), lambda rows: let(F.transform(rows, token_count), lambda sizes: _split(rows, sizes)))
+
+
+def _split(rows: Column, sizes: Column) -> Column:
     n = F.size(rows)
     start = F.struct(F.lit(0).alias("front"), F.lit(0).alias("back"), F.lit(0).alias("tf"), F.lit(0).alias("tb"))
 
@@ -33,5 +35,5 @@ def split_context(text: Column) -> Column:
             (s["tb"] + F.when(to_story, F.get(sizes, n - 1 - s["back"])).otherwise(0)).alias("tb"),
         )
 
-    cut = F.aggregate(rows, start, step, lambda s: s["front"])
-    return F.struct(F.array_join(F.slice(rows, F.lit(1), cut), "\n").alias("context"), F.array_join(F.slice(rows, cut + 1, n), "\n").alias("story"))
+    front = F.aggregate(rows, start, step, lambda s: s["front"])
+    return let(front, lambda cut: F.struct(F.array_join(F.slice(rows, F.lit(1), cut), "\n").alias("context"), F.array_join(F.slice(rows, cut + 1, n), "\n").alias("story")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotmill.constants import FEMALE_NAMES, MALE_NAMES, NAME_BLACKLIST, NAME_KEYS, TITLES
-from plotmill.functions.text import strip
+from plotmill.functions.text import let, strip
 
 
 def parse_names(field: Column) -> Column:
@@ -20,23 +20,24 @@ def parse_names(field: Column) -> Column:
 
 def sample(names: Sequence[str], count: Column, seed: int, role: str, *key: Column) -> Column:
     """`count` different names drawn for a record; an error if there are fewer."""
-    pool = F.array_sort(F.transform(F.array(*map(F.lit, names)), lambda n: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), *key, F.lit(role), n)).alias("at"), n.alias("name"))))
+    pool = F.sort_array(F.transform(F.array(*map(F.lit, names)), lambda n: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), *key, F.lit(role), n)).alias("at"), n.alias("name"))))
     short = F.raise_error(F.lit(f"more names asked for than the {len(names)} given"))
-    return F.when(count > len(names), short).otherwise(F.transform(F.slice(pool, 1, count), lambda s: s["name"]))
+    none = F.array().cast("array<string>")
+    return F.when(count == 0, none).when(count > len(names), short).otherwise(F.transform(F.slice(pool, 1, count), lambda s: s["name"]))
 
 
 def swaps(names: Column, first: Column, last: Column) -> Column:
     """X-s13: `(name, old_first, new_first, old_last, new_last)` for each name; parts that stay are empty."""
 
-    def one(name: Column, i: Column) -> Column:
+    def one(name: Column, i: Column, firsts: Column, lasts: Column) -> Column:
         parts = F.split(name, " ", -1)
         head = F.get(parts, 0)
         title, owner, barred = head.isin(TITLES), F.endswith(head, F.lit("'s")), head.isin(NAME_BLACKLIST)
         old_first = F.when(title, "").when(owner, F.substring(head, 1, F.length(head) - 2)).when(barred, "").otherwise(head)
         old_last = F.when(~title & (owner | barred), "").when(F.size(parts) == 2, F.get(parts, 1)).otherwise("")
-        return F.struct(name.alias("name"), old_first.alias("old_first"), F.get(first, i).alias("new_first"), old_last.alias("old_last"), F.get(last, i).alias("new_last"))
+        return F.struct(name.alias("name"), old_first.alias("old_first"), F.get(firsts, i).alias("new_first"), old_last.alias("old_last"), F.get(lasts, i).alias("new_last"))
 
-    return F.transform(names, one)
+    return let(first, lambda fs: let(last, lambda ls: F.transform(names, lambda n, i: one(n, i, fs, ls))))
 
 
 def new_name(swap: Column) -> Column:
@@ -60,7 +61,10 @@ def replacements(swap_list: Column) -> Column:
 
 def replace_in(record: Column, pairs: Column, keys: Sequence[str] = NAME_KEYS) -> Column:
     """Plain, chained replacement in some entries of a record (Q-14)."""
-    return F.transform_values(record, lambda k, v: F.when(k.isin(list(keys)), F.aggregate(pairs, v, lambda a, p: F.replace(a, p["o"], p["n"]))).otherwise(v))
+    def renamed(ps: Column) -> Column:
+        return F.transform_values(record, lambda k, v: F.when(k.isin(list(keys)), F.aggregate(ps, v, lambda a, p: F.replace(a, p["o"], p["n"]))).otherwise(v))
+
+    return F.when(F.size(pairs) <= 0, record).otherwise(let(pairs, renamed))
 
 
 def randomize_names(

@@ -24,15 +24,14 @@ def phrases(text: Column, length: int = LENGTH) -> Column:
     curly = replace_all(text, [(c, "’" + c[1:]) for c in CONTRACTIONS])
     sentences = F.filter(F.transform(F.split(curly, PHRASE_BREAKS, -1), strip), lambda s: s != "")
 
-    def windows(sentence: Column) -> Column:
-        words = F.split(sentence, " ", -1)
+    def windows(words: Column) -> Column:
         n = F.size(words)
         places = F.when(n > length, F.sequence(F.lit(1), n - length)).otherwise(F.array().cast("array<int>"))
         grams = F.transform(places, lambda i: F.slice(words, i, length))
         kept = F.filter(grams, lambda g: ~F.exists(g, skipped))
         return F.transform(kept, lambda g: F.replace(F.array_join(g, " "), F.lit("’"), F.lit("'")))
 
-    return F.flatten(F.transform(sentences, windows))
+    return F.flatten(F.transform(F.transform(sentences, lambda s: F.split(s, " ", -1)), windows))
 
 
 def story_phrases(df: DataFrame, story: str, text: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotmill.constants import ALLOWED_FIELDS, KEY_ORDER
-from plotmill.functions.text import blank, strip
+from plotmill.functions.text import blank, let, strip
 
 STRING_MAP = "map<string,string>"
 
@@ -39,17 +39,18 @@ def normalise_keys(record: Column) -> Column:
 
 def _last_wins(entries: Column) -> Column:
     """A map of entries in order of first appearance, each key with its last value, whatever the session's policy on doubles."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"])
-    return F.map_from_arrays(keys, last)
+    def gathered(es: Column) -> Column:
+        keys = F.array_distinct(F.transform(es, lambda e: e["key"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(es, lambda e: e["key"] == k), -1)["value"]))
+
+    return let(entries, gathered)
 
 
 def ordered(record: Column, order: list[str] = KEY_ORDER) -> Column:
     """All keys of `order`, null where absent, then the others sorted (O3, U4)."""
     fixed = F.array(*map(F.lit, order))
-    others = F.array_sort(F.array_except(F.map_keys(record), fixed))
-    keys = F.concat(fixed, others)
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: record[k]))
+    others = F.sort_array(F.array_except(F.map_keys(record), fixed))
+    return let(F.concat(fixed, others), lambda keys: F.map_from_arrays(keys, F.transform(keys, lambda k: record[k])))
 
 
 def without_nulls(record: Column) -> Column:

@@ -55,7 +55,7 @@ def prose_style(record: Column) -> Column:
 def plain_style(record: Column, seed: int, *key: Column) -> Column:
     """X-s6: `key: value. ` for each tag, in an order drawn for the record."""
     entries = F.filter(F.map_entries(record), lambda e: ~e["key"].isin("context", "story", "prompt") & _given(e["value"]))
-    shuffled = F.array_sort(F.transform(entries, lambda e: F.struct(draw_bits(seed, *key, e["key"]).alias("at"), e["key"].alias("k"), e["value"].alias("v"))))
+    shuffled = F.sort_array(F.transform(entries, lambda e: F.struct(draw_bits(seed, *key, e["key"]).alias("at"), e["key"].alias("k"), e["value"].alias("v"))))
     return strip(F.array_join(F.transform(shuffled, lambda e: F.concat(e["k"], F.lit(": "), F.lower(e["v"]), F.lit(". "))), ""))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotmill.constants import ALIASES
-from plotmill.functions.text import draw, literal_map, strip
+from plotmill.functions.text import draw, let, literal_map, strip
 
 
 def alias(value: Column, names: Mapping[str, str]) -> Column:
@@ -19,10 +19,13 @@ def alias(value: Column, names: Mapping[str, str]) -> Column:
     mapping = literal_map(dict(names))
     low = F.regexp_replace(F.lower(value), r"^\.+|\.+\z", "")
     joined = F.when(F.contains(low, F.lit(" and ")), F.replace(F.replace(low, F.lit(" and "), F.lit(", and ")), F.lit(",,"), F.lit(","))).otherwise(low)
-    parts = F.transform(F.split(F.replace(joined, F.lit("with a touch of "), F.lit(",")), ",", -1), strip)
-    tidy = F.transform(parts, lambda p, i: F.when(i == F.size(parts) - 1, F.regexp_replace(p, "^and ", "")).otherwise(p))
-    mapped = F.array_distinct(F.transform(tidy, lambda p: F.coalesce(mapping[p], p)))
-    return F.when(F.coalesce(value, F.lit("")) == "", value).when(mapping[low].isNotNull(), mapping[low]).when(F.contains(low, F.lit(",")), F.array_join(mapped, ", ")).otherwise(value)
+
+    def listed(parts: Column) -> Column:
+        tidy = F.transform(parts, lambda p, i: F.when(i == F.size(parts) - 1, F.regexp_replace(p, "^and ", "")).otherwise(p))
+        return F.array_join(F.array_distinct(F.transform(tidy, lambda p: F.coalesce(mapping[p], p))), ", ")
+
+    split = F.transform(F.split(F.replace(joined, F.lit("with a touch of "), F.lit(",")), ",", -1), strip)
+    return F.when(F.coalesce(value, F.lit("")) == "", value).when(mapping[low].isNotNull(), mapping[low]).when(F.contains(low, F.lit(",")), let(split, listed)).otherwise(value)
 
 
 def alias_record(record: Column, table: Mapping[str, Mapping[str, str]] = ALIASES) -> Column:

@@ -35,6 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, below: int = 16 << 20) -> DataFrame:
+    """`df` over all cores if it is small (by the optimiser's estimate), for work that costs far more than a shuffle; larger inputs have partitions enough."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < below else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df`, computed once and written to reliable storage that outlives any executor.
 
