@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotmill.llm.tokens import VOCABULARY, token_count
-from plotmill.session import cut_lineage
+from plotmill.session import cut_lineage, spread
 
 #: Documents balanced together in one task; each block hands on at most two fractional probabilities.
 BLOCK = 4096
@@ -102,7 +102,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text:
     """
     sized = cut_lineage(
         docs.select(F.col(f"`{key}`").alias("id"), source_key(F.col(f"`{source}`")).alias("key"), F.col(f"`{text}`").alias("text"))
-        .filter(F.col("key").isNotNull()).select("id", "key", token_count(F.col("text"), vocabulary).alias("tokens"))
+        .filter(F.col("key").isNotNull()).transform(spread).select("id", "key", token_count(F.col("text"), vocabulary).alias("tokens"))
     )
     held = cut_lineage(sized.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents")))
     total = held.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"]

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotmill.session import spread
+
 # Words that as a whole response stand for nothing.
 NOTHINGS = frozenset(
     "none|null|nil|nan|n a|na|tbd|tba|tbc|todo|empty|blank|missing|nothing|undefined|no story|no output|no text|no response|no answer|no content|"
@@ -199,4 +201,4 @@ def flag_pairs(df: DataFrame, prompt: str, story: str, key: str = "record_id") -
                     ranks.append(k + 1)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(names, pa.string()), pa.array(ranks, pa.int64())], ["key", "defect", "rank"])
 
-    return rows.mapInArrow(judge, f"key {kind}, defect string, rank bigint").withColumnRenamed("key", key)
+    return spread(rows).mapInArrow(judge, f"key {kind}, defect string, rank bigint").withColumnRenamed("key", key)

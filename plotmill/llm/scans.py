@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotmill.session import spread
+
 # What a scanner reads for what is printed.
 MISREADINGS = (
     ("o", "0"), ("l", "1"), ("i", "1"), ("s", "5"), ("g", "9"), ("b", "6"), ("z", "2"), ("b", "8"), ("e", "c"), ("c", "e"), ("h", "b"), ("b", "h"), ("t", "f"), ("f", "t"),
@@ -448,4 +450,4 @@ def repair_scans(df: DataFrame, key: str = "record_id", text: str = "story", hin
             texts = pa.array([g.text for g in got], pa.string()) if rewrite else batch.column(1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.noise for g in got], pa.list_(pa.string())), texts], ["key", "noise", "text"])
 
-    return rows.mapInArrow(mend, f"key {kind}, noise array<string>, text string").withColumnRenamed("key", key)
+    return spread(rows).mapInArrow(mend, f"key {kind}, noise array<string>, text string").withColumnRenamed("key", key)
