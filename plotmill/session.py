@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +29,25 @@ def get_spark(app: str = "plotmill", master: str | None = None, **conf: str) ->
     }
     for key, value in {**base, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_code(spark)
+    return spark
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the workers, unless they start where it is on the path already."""
+    here = Path(__file__).resolve().parent
+    root = str(here.parent)
+    context = spark.sparkContext
+    if root in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) or getattr(context, "_plotmill_shipped", False):
+        return
+    # the driver serves this archive to the executors itself; nothing else is kept in this folder
+    archive = Path(tempfile.mkdtemp(prefix="plotmill-")) / "plotmill.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in here.rglob("*.py"):
+            z.write(f, f.relative_to(here.parent))
+    context.addPyFile(str(archive))
+    context._plotmill_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
