@@ -26,6 +26,7 @@ from plotmill.session import spread
 MISREADINGS = (
     ("o", "0"), ("l", "1"), ("i", "1"), ("s", "5"), ("g", "9"), ("b", "6"), ("z", "2"), ("b", "8"), ("e", "c"), ("c", "e"), ("h", "b"), ("b", "h"), ("t", "f"), ("f", "t"),
     ("i", "l"), ("l", "i"), ("n", "u"), ("u", "n"), ("d", "cl"), ("u", "ii"), ("m", "rn"), ("m", "nn"), ("w", "vv"), ("li", "h"), ("h", "li"), ("rn", "m"), ("cl", "d"), ("nn", "m"), ("n", "ri"), ("a", "o"), ("y", "v"),
+    ("nn", "rm"), ("mn", "rrm"), ("d", "c1"), ("el", "d"), ("di", "ch"), ("lu", "hi"), ("in", "m"), ("ni", "m"), ("fi", "ﬁ"), ("ti", "ﬁ"), ("fl", "ﬂ"), ("ff", "ﬀ"),
 )
 #: Words the editor is trained on, how often, and the longest word it looks at.
 TRAIN_WORDS, EPOCHS, LONGEST = 2500, 3, 24
