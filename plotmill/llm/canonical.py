@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from plotmill.session import broadcast_if_small, cut_lineage
 
-#: Least cosine, least lead over the next tag, and the largest edit distance as a share of the longer spelling.
-THRESHOLD, MARGIN, MAX_EDITS = 0.4, 0.03, 0.5
+#: Least cosine, least lead over the next tag, and the largest edit distance as a share of the longer spelling, the smaller one below the cosine `SURE`.
+THRESHOLD, MARGIN, MAX_EDITS, SURE, FEW_EDITS = 0.36, 0.03, 0.5, 0.5, 0.34
 
 # Words that qualify a value without changing what it means.
 QUALIFIERS = (
@@ -56,7 +56,7 @@ def split_values(raw: Column) -> Column:
 
 
 def match_values(values: DataFrame, entries: DataFrame) -> DataFrame:
-    """The best entry of each distinct value: `(field, value, tag_id, name, score, second)`; values without any candidate are left out.
+    """The best entry of each distinct value: `(field, value, tag_id, name, score, second, other_id, other_name)`; values without any candidate are left out.
 
     `values` is `(field, value)` with distinct normalised values, `entries` `(field, tag_id, name)` with a row for each spelling.
     Candidates come from an inverted index of character n-grams; the score is the cosine of gram counts weighted by inverse
@@ -83,7 +83,7 @@ def match_values(values: DataFrame, entries: DataFrame) -> DataFrame:
     top = F.slice(F.sort_array(F.collect_list(F.struct("score", F.negative("tag_id").alias("t"), "name")), asc=False), 1, 2)
     ranked = best.groupBy("field", "value").agg(top.alias("top"))  # one row a tag in each group: at most the tags of one field
     first, other = F.col("top")[0], F.try_element_at("top", F.lit(2))
-    return ranked.select("field", "value", (-first["t"]).alias("tag_id"), first["name"].alias("name"), first["score"].alias("score"), F.coalesce(other["score"], F.lit(0.0)).alias("second"))
+    return ranked.select("field", "value", (-first["t"]).alias("tag_id"), first["name"].alias("name"), first["score"].alias("score"), F.coalesce(other["score"], F.lit(0.0)).alias("second"), F.coalesce(-other["t"], F.lit(0)).alias("other_id"), other["name"].alias("other_name"))
 
 
 def map_to_canonical(
@@ -103,10 +103,17 @@ def map_to_canonical(
     typed = held.join(broadcast_if_small(tags.select("field", F.col("tag").alias("value"))), ["field", "value"], "left_anti")
     distinct = cut_lineage(typed.groupBy("field", "value").agg(F.count("*").alias("n")).withColumn("norm", normalise(F.col("value"))))
     matched = match_values(distinct.filter("norm != ''").select("field", F.col("norm").alias("value")).distinct(), entries)
-    a, b = squeeze(F.col("value")), squeeze(F.col("name"))
-    longest = F.greatest(F.length(a), F.length(b))
-    near = F.levenshtein(a, b) <= F.when(longest <= 3, longest - 1).otherwise(longest * MAX_EDITS)  # the exact check
-    accept = (F.col("score") >= threshold) & (F.col("score") - F.col("second") >= margin) & near
+    # the exact check: edits as a share of the longer spelling; within the margin the two best are told apart by it
+    def edits(name: Column) -> Column:
+        a, b = squeeze(F.col("value")), squeeze(name)
+        return F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+
+    leads = F.col("score") - F.col("second") >= margin
+    matched = matched.withColumn("own", edits(F.col("name"))).withColumn("rival", F.coalesce(edits(F.col("other_name")), F.lit(1.0)))
+    swap = ~leads & (F.col("rival") < F.col("own"))
+    matched = matched.withColumn("tag_id", F.when(swap, F.col("other_id")).otherwise(F.col("tag_id"))).withColumn("edits", F.least("own", F.when(~leads, F.col("rival")).otherwise(F.col("own"))))
+    most = F.when(F.length(squeeze(F.col("value"))) <= 3, F.lit(0.67)).when(F.col("score") < SURE, F.lit(FEW_EDITS)).otherwise(F.lit(MAX_EDITS))
+    accept = (F.col("score") >= threshold) & (leads | (F.col("rival") != F.col("own"))) & (F.col("edits") <= most)
     means = matched.select("field", F.col("value").alias("norm"), F.when(accept, F.col("tag_id")).otherwise(F.lit(0)).cast("bigint").alias("tag_id"), "score")
     table = cut_lineage(distinct.join(means, ["field", "norm"], "left").select("field", "value", F.coalesce("tag_id", F.lit(0).cast("bigint")).alias("tag_id"), F.coalesce("score", F.lit(0.0)).alias("score")))
     out = typed.join(broadcast_if_small(table), ["field", "value"])
