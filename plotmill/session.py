@@ -9,9 +9,10 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows that may be broadcast after they were counted; beyond it the plan shuffles instead.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def get_spark(app: str = "plotmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -78,8 +79,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it has at most `limit` rows (it is counted, up to the limit), else unchanged."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `limit` rows and about `most_bytes` (both are measured, up to the limit), else unchanged."""
+    width = F.coalesce(F.length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))), F.lit(0))
+    got = df.limit(limit + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if got["n"] <= limit and got["b"] <= most_bytes else df

@@ -184,3 +184,38 @@ def test_screenplay(spark):
     assert [(r["f"], r["chunk_id"], r["is_roleplay"]) for r in got] == [("a", 0, True)]
     places, people = script_constants(df, "t")
     assert places.count() == 2 and {r["name"] for r in people.collect()} == {"Mia", "Bo"}
+
+
+def test_clients_speak_to_a_server():
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"text": "a"}], "candidates": [{"content": {"parts": [{"text": "b"}]}}]}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/x"
+    assert generation.CompletionClient(url).complete("p", ["s"], 0.3, 50) == "a" and generation.ContentClient(url).complete("p", ["s"], 0.3, 50) == "b"
+    assert seen[0]["max_tokens"] == 50 and seen[0]["truncation_length"] == 8142 and seen[1]["generationConfig"]["stopSequences"] == ["s"]
+    server.shutdown()
+
+
+def test_pieces(spark):
+    from plotmill.functions.pieces import join_pieces, piece_count, pieces
+
+    model = "/opt/tokenizers/piece_bpe_32k.model"
+    df = spark.createDataFrame([("The quiet harbour.",), (None,), ("",)], "t string")
+    got = df.select("t", piece_count(F.col("t"), model).alias("n"), pieces(F.col("t"), model).alias("p")).withColumn("back", join_pieces(F.col("p"))).collect()
+    assert got[0]["n"] == len(got[0]["p"]) > 3 and got[0]["back"] == "The quiet harbour."
+    assert (got[1]["n"], got[1]["p"]) == (0, None) and got[2]["n"] == 0
