@@ -6,6 +6,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,24 +49,26 @@ def coarsest(text: str, limit: int = LIMIT) -> int:
 
 
 class RangeMaximum:
-    """Sparse table: place of the greatest value in a range, the rightmost one among equals; O(n log n) to build, O(1) to ask."""
+    """Sparse table: place of the greatest value in a range, the rightmost one among equals; O(1) to ask.
 
-    def __init__(self, values: list[int]):
-        self.values = values
-        self.rows = [list(range(len(values)))]
+    Only ranges of at most `widest` values are ever asked, so a row is built for each power of two up to that and a text of
+    any length needs O(n log widest).
+    """
+
+    def __init__(self, values: list[int], widest: int):
+        self.values = np.array(values, np.int8)
+        self.rows = [np.arange(len(values), dtype=np.int32)]
         width = 1
-        while 2 * width <= len(values):
-            last = self.rows[-1]
-            self.rows.append([self._better(last[i], last[i + width]) for i in range(len(last) - width)])
+        while 2 * width <= min(len(values), widest):
+            a, b = self.rows[-1][:-width], self.rows[-1][width:]
+            self.rows.append(np.where(self.values[b] >= self.values[a], b, a))
             width *= 2
 
-    def _better(self, a: int, b: int) -> int:
-        return b if self.values[b] >= self.values[a] else a
-
     def of(self, lo: int, hi: int) -> int:
         """Place of the maximum among values[lo:hi]; needs lo < hi."""
         k = (hi - lo).bit_length() - 1
-        return self._better(self.rows[k][lo], self.rows[k][hi - (1 << k)])
+        a, b = int(self.rows[k][lo]), int(self.rows[k][hi - (1 << k)])
+        return b if self.values[b] >= self.values[a] else a
 
 
 def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, int]]:
@@ -78,7 +81,7 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than the limit")
     ends, starts, level = boundaries(text)
-    table = RangeMaximum(level)
+    table = RangeMaximum(level, limit + 1)
     out: list[tuple[int, int, int, int]] = []
     start, done, stop = len(text) - len(text.lstrip()), 0, len(text.rstrip())
     if start >= stop:

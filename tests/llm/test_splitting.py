@@ -14,7 +14,7 @@ def test_range_maximum_is_rightmost(values, data):
     lo = data.draw(st.integers(0, len(values) - 1))
     hi = data.draw(st.integers(lo + 1, len(values)))
     most = max(values[lo:hi])
-    assert RangeMaximum(values).of(lo, hi) == max(k for k in range(lo, hi) if values[k] == most)
+    assert RangeMaximum(values, len(values)).of(lo, hi) == max(k for k in range(lo, hi) if values[k] == most)
 
 
 @settings(max_examples=300, deadline=None)
@@ -33,6 +33,12 @@ def test_pieces(text, limit, data):
     assert not text[end:].strip()
 
 
+def test_very_long_text():
+    text = "word " * 1_000_000
+    pieces = cut(text)
+    assert pieces[-1][1] == len(text) - 1 and all(e - s <= 2400 for s, e, *_ in pieces)
+
+
 def test_prefers_strong_boundaries_and_the_rightmost():
     def pieces(text, limit):
         return [text[s:e] for s, e, *_ in cut(text, limit, 0)]
