@@ -102,7 +102,10 @@ def map_to_canonical(
     held = df.select(F.col(f"`{key}`").alias("key"), F.explode(raw).alias("r")).select("key", "r.field", F.posexplode("r.values").alias("i", "value"))
     typed = held.join(broadcast_if_small(tags.select("field", F.col("tag").alias("value"))), ["field", "value"], "left_anti")
     distinct = cut_lineage(typed.groupBy("field", "value").agg(F.count("*").alias("n")).withColumn("norm", normalise(F.col("value"))))
-    matched = match_values(distinct.filter("norm != ''").select("field", F.col("norm").alias("value")).distinct(), entries)
+    # few bytes but much work a value, so the number of partitions is set rather than left to their size
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    values = distinct.filter("norm != ''").select("field", F.col("norm").alias("value")).distinct().repartition(tasks, "field", "value")
+    matched = match_values(values, entries)
     # the exact check: edits as a share of the longer spelling; within the margin the two best are told apart by it
     def edits(name: Column) -> Column:
         a, b = squeeze(F.col("value")), squeeze(name)
