@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plotmill.constants import ABBREVIATED_TITLES
 from plotmill.functions.text import let, strip, token_count
+from plotmill.session import spread
 
 
 def clean_bytes(text: Column) -> Column:
@@ -109,6 +110,6 @@ def pack(parts: Column, most: int) -> Column:
 
 def book_chunks(books: DataFrame, key: str, raw: str, most: int, exclude: bool = False) -> DataFrame:
     """`(<key>, chunk_id, text)`, chunks numbered from 1; over-long paragraphs are cut, or left out with `exclude`."""
-    parts = books.select(F.col(f"`{key}`"), paragraphs(F.col(f"`{raw}`")).alias("parts"))
+    parts = spread(books.select(key, raw)).select(F.col(f"`{key}`"), paragraphs(F.col(f"`{raw}`")).alias("parts"))
     capped = parts.select(key, (drop_long if exclude else split_long)(F.col("parts"), most - 1).alias("parts"))
     return capped.select(key, F.posexplode(pack(F.col("parts"), most)).alias("i", "text")).select(key, (F.col("i") + 1).cast("bigint").alias("chunk_id"), "text")

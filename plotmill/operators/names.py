@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plotmill.constants import FEMALE_NAMES, MALE_NAMES, NAME_BLACKLIST, NAME_KEYS, TITLES
 from plotmill.functions.text import let, strip
+from plotmill.session import spread
 
 
 def parse_names(field: Column) -> Column:
@@ -76,7 +77,7 @@ def randomize_names(
     """
     place = [F.col(f"`{k}`").cast("string") for k in keys]
     col = F.col(f"`{record}`")
-    named = df.select(*keys, col.alias("prompt"), parse_names(col["male characters"]).alias("m"), parse_names(col["female characters"]).alias("f"))
+    named = spread(df.select(*keys, record)).select(*keys, col.alias("prompt"), parse_names(col["male characters"]).alias("m"), parse_names(col["female characters"]).alias("f"))
     m, f = F.size("m"), F.size("f")
     drawn = named.select(
         *keys, "prompt", "m", "f",

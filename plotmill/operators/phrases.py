@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plotmill.constants import CONTRACTIONS, PHRASE_BREAKS, PRONOUNS
 from plotmill.functions.text import is_title, replace_all, strip
+from plotmill.session import spread
 
 LEAST_IN_STORY, LEAST_STORIES, LENGTH = 5, 3, 3
 
@@ -36,7 +37,7 @@ def phrases(text: Column, length: int = LENGTH) -> Column:
 
 def story_phrases(df: DataFrame, story: str, text: str) -> DataFrame:
     """A1: `(story, phrase, count)`. Null texts count for nothing; exact, nothing is pruned (Q-06)."""
-    each = df.select(F.col(f"`{story}`").alias("story"), F.explode(phrases(F.col(f"`{text}`"))).alias("phrase"))
+    each = spread(df.select(story, text)).select(F.col(f"`{story}`").alias("story"), F.explode(phrases(F.col(f"`{text}`"))).alias("phrase"))
     return each.groupBy("story", "phrase").agg(F.count("*").alias("count"))
 
 

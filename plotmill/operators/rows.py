@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plotmill.constants import DROPPABLE_TAGS, FORMAT_TOKENS, QUOTED_FIELDS, TAG_DROP_RATE, TRAINING_FORMAT
 from plotmill.functions.text import draw, draw_bits, strip, token_count
 from plotmill.operators.records import only_keys, usable_context, without_nulls
+from plotmill.session import spread
 
 
 def straight_quotes(record: Column, keys: list[str] = QUOTED_FIELDS) -> Column:
@@ -82,7 +83,7 @@ def dataset_rows(records: DataFrame, keys: list[str], record: str = "prompt", se
     """
     place = [F.col(f"`{k}`").cast("string") for k in keys]
     kept = drop_tags(without_nulls(straight_quotes(only_keys(F.col(f"`{record}`")))), seed, *place, rate=rate)
-    base = records.select(*keys, F.coalesce(kept, F.create_map().cast("map<string,string>")).alias("tags"))
+    base = spread(records.select(*keys, record)).select(*keys, F.coalesce(kept, F.create_map().cast("map<string,string>")).alias("tags"))
     tags = F.col("tags")
     base = base.select(
         *keys, "tags", (prose_style(tags) if prose else plain_style(tags, seed, *place)).alias("style"), usable_context(tags["context"]).alias("context"),
