@@ -104,7 +104,7 @@ def map_to_canonical(
     distinct = cut_lineage(typed.groupBy("field", "value").agg(F.count("*").alias("n")).withColumn("norm", normalise(F.col("value"))))
     # few bytes but much work a value, so the number of partitions is set rather than left to their size
     tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    values = distinct.filter("norm != ''").select("field", F.col("norm").alias("value")).distinct().repartition(tasks, "field", "value")
+    values = distinct.filter("norm != ''").select("field", F.col("norm").alias("value")).repartition(tasks, "field", "value").distinct()
     matched = match_values(values, entries)
     # the exact check: edits as a share of the longer spelling; within the margin the two best are told apart by it
     def edits(name: Column) -> Column:
