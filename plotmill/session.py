@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,18 +37,22 @@ def get_spark(app: str = "plotmill", master: str | None = None, **conf: str) ->
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Make this package importable in the workers, unless they start where it is on the path already."""
+    """Make this package importable in the workers: executors of a cluster get an archive of it, local workers only if they do not start where it is on the path."""
     here = Path(__file__).resolve().parent
-    root = str(here.parent)
     context = spark.sparkContext
-    if root in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) or getattr(context, "_plotmill_shipped", False):
+    local = context.master == "local" or context.master.startswith("local[")
+    on_path = str(here.parent) in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep))
+    if (local and on_path) or getattr(context, "_plotmill_shipped", False):
         return
-    # the driver serves this archive to the executors itself; nothing else is kept in this folder
-    archive = Path(tempfile.mkdtemp(prefix="plotmill-")) / "plotmill.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    shared = urlparse(context.getConf().get("spark.checkpoint.dir", "") or "")
+    # the driver serves the archive to the executors itself, so it may lie where only the driver reads
+    folder = Path(shared.path) if shared.path and shared.scheme in ("", "file") else Path(tempfile.gettempdir())
+    folder = folder / ("plotmill-" + uuid.uuid4().hex)
+    folder.mkdir(parents=True)
+    with zipfile.ZipFile(folder / "plotmill.zip", "w") as z:
         for f in here.rglob("*.py"):
             z.write(f, f.relative_to(here.parent))
-    context.addPyFile(str(archive))
+    context.addPyFile(str(folder / "plotmill.zip"))
     context._plotmill_shipped = True
 
 
