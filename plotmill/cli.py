@@ -41,12 +41,17 @@ def generate(spark: SparkSession, a: argparse.Namespace) -> None:
     told = parts.select("story", "chunk", "old", F.when(F.col("split"), F.col("s.context")).otherwise("N/A").alias("before"), F.when(F.col("split"), F.col("s.story")).otherwise(F.col("full")).alias("told"), "split")
     most = params.get("response_length", 600)
     requests = told.withColumn("request", fewshot.render(text, {"story": F.col("told"), "context": F.col("before")})).filter(generation.fits_window(F.col("request"), most))
-    answers = cut_lineage(generation.ask(requests, ["story", "chunk"], "request", generation.client(a.back_end), a.attempts, params.get("stopping_strings", ["\n\n"]), params.get("temperature", 0.2), most))
-    made = records.rename_keys(records.without_keys(generation.first_example(F.col("answer")), params.get("remove_keys_from_result", [])), params.get("rename_keys") or {"": ""})
-    joined = answers.withColumn("new", made).filter(~generation.is_junk(F.col("new"), a.blacklist)).join(told, ["story", "chunk"])
+    drop, names_ = params.get("remove_keys_from_result", []), params.get("rename_keys") or {}
+    usable = generation.judge(a.blacklist, drop, names_)
+    asked = generation.ask(requests, ["story", "chunk", "old", "before", "told", "split"], "request", generation.client(a.back_end), a.attempts, params.get("stopping_strings", ["\n\n"]), params.get("temperature", 0.2), most, usable)
+    answers = cut_lineage(asked)
+    made = records.rename_keys(records.without_keys(generation.first_example(F.col("answer")), drop), names_ or {"": ""})
     own = F.when(F.col("split"), F.create_map(F.lit("context"), F.trim("before"), F.lit("story"), F.trim("told"))).otherwise(F.create_map(F.lit("story"), F.trim("told")))
-    merged = records.overlay(records.overlay(F.col("old"), F.col("new")), own)
-    sinks.write_records(joined.select("story", files.output_name(F.col("chunk")).alias("chunk"), records.ordered(merged).alias("prompt")), a.out)
+    joined = answers.withColumns({"made": made, "own": own}).withColumn("new", records.overlay(F.col("made"), F.col("own")))
+    judged = joined.withColumn("reason", generation.refusal(joined, F.col("new")))
+    merged = records.overlay(F.col("old"), F.col("new"))
+    sinks.write_records(judged.filter("reason IS NULL").select("story", files.output_name(F.col("chunk")).alias("chunk"), records.ordered(merged).alias("prompt")), a.out)
+    sinks.write_rejects(judged.filter("reason IS NOT NULL OR size(junk) > 0"), a.out.rstrip("/") + "_rejects")
 
 
 def fewshot_without(spark: SparkSession, text: str, keys: list[str]) -> str:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 import urllib.request
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,18 +119,61 @@ def acceptable(record: Column, ideal: int = IDEAL_TOKENS) -> Column:
     return F.abs(F.lit(ideal) - result_tokens(record)) < ideal
 
 
+_LINE_END = re.compile(r"\r\n|\r|\n")
+
+
+def answer_values(answer: str, remove: Sequence[str] = (), rename: Mapping[str, str] | None = None) -> list[str]:
+    """The values of the first example of an answer, for P10 in a worker; [] if it has no key.
+
+    Reads as `first_example`, but before keys that differ in case alone fall together: a value that another one hides counts.
+    """
+    kept = "\n".join(x for x in _LINE_END.split(answer) if x.strip())
+    example: dict[str, str] = {}
+    last = None
+    for line in _LINE_END.split(re.sub(r"\n>\Z", "", re.sub(r"</s>\Z", "", kept))):
+        if not line.strip():
+            if example:
+                break
+        elif line.startswith(">") and ":" in line:
+            name, value = line[1:].split(":", 1)
+            last = name.strip()
+            example[last] = value.removeprefix(" ")
+        elif last is not None:
+            example[last] += "\n" + line
+    left = {k: v for k, v in example.items() if k.lower() not in remove}
+    for old, new in (rename or {}).items():
+        for k in [k for k in left if k.lower() == old]:
+            left[new] = left.pop(k)
+    return list(left.values())
+
+
+def judge(blacklist: Sequence[str] = (), remove: Sequence[str] = (), rename: Mapping[str, str] | None = None) -> Callable[[str], bool]:
+    """P10 for `ask`: whether an answer, without the keys `remove`, has a key, no value under two characters and no banned text."""
+
+    def good(answer: str) -> bool:
+        values = answer_values(answer, remove, rename)
+        return bool(values) and all(len(v) >= 2 and not any(b in v for b in blacklist) for v in values)
+
+    return good
+
+
+def refusal(answers: DataFrame, result: Column) -> Column:
+    """Why a row of `ask` has no result: `unanswered` (no request), `junk` (no usable answer), `length` (A14); null if it has one."""
+    return F.when(answers["attempts"] == 0, "unanswered").when(answers["answer"].isNull(), "junk").when(~F.coalesce(acceptable(result), F.lit(False)), "length")
+
+
 def ask(requests: DataFrame, keys: list[str], request: str, answerer: Client, attempts: int = 3, stop: Sequence[str] = ("\n\n",), temperature: float = 0.2, most: int = 600, usable: Callable[[str], bool] = bool) -> DataFrame:
-    """`(<keys>, answer STRING, attempts BIGINT, junk ARRAY<STRING>)`: each request sent until an answer is usable.
+    """`(<keys>, answer STRING, attempts BIGINT, junk ARRAY<STRING>)`: each request sent until an answer is usable (`judge`).
 
     One request at a time in each partition, so partitions bound the load on the server. Answers are not the same when asked
-    again: write the result before it is used twice.
+    again: write the result before it is used twice. `keys` are handed through, whatever their types; null requests are not sent.
     """
     fields = ", ".join(f"`{k}` {requests.schema[k].dataType.simpleString()}" for k in keys)
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text in pdf[request]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            answers, sent, junks = [], [], []
+            for text in batch.column(request).to_pylist():
                 junk, answer, n = [], None, 0
                 while n < attempts and text is not None:
                     n += 1
@@ -138,7 +182,10 @@ def ask(requests: DataFrame, keys: list[str], request: str, answerer: Client, at
                         answer = got
                         break
                     junk.append(got)
-                out.append((answer, n, junk))
-            yield pdf[keys].assign(answer=[o[0] for o in out], attempts=[o[1] for o in out], junk=[o[2] for o in out])
+                answers.append(answer)
+                sent.append(n)
+                junks.append(junk)
+            made = [pa.array(answers, pa.string()), pa.array(sent, pa.int64()), pa.array(junks, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *made], [*keys, "answer", "attempts", "junk"])
 
-    return requests.select(*dict.fromkeys([*keys, request])).mapInPandas(send, f"{fields}, answer string, attempts bigint, junk array<string>")
+    return requests.select(*dict.fromkeys([*keys, request])).mapInArrow(send, f"{fields}, answer string, attempts bigint, junk array<string>")

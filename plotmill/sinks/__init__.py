@@ -21,6 +21,11 @@ def write_records(records: DataFrame, folder: str) -> None:
     rows.write.mode("overwrite").partitionBy("story").json(folder)
 
 
+def write_rejects(answers: DataFrame, folder: str) -> None:
+    """Junk answers and chunks without a result as JSON lines; `reason` is null where a later attempt was good."""
+    answers.select("story", "chunk", "reason", "attempts", "answer", "junk").write.mode("overwrite").json(folder, ignoreNullFields=False)
+
+
 def write_dataset(rows: DataFrame, folder: str, name: str) -> None:
     """K4: rows marked `is_validation` and the others as JSON lines; a null context is left out."""
     kept = ["system", "context", "instruction", "output"]

@@ -51,6 +51,35 @@ def test_generate_and_resume(spark, tree):
     assert len(_json(tree / "o2")) == 5
 
 
+def _in_turn():
+    class InTurn:  # within a function, so that workers need not import it
+        """A junk answer first, then a usable one; never a usable one for texts with `hopeless`; a very long one for those with `endless`."""
+
+        def __init__(self):
+            self.sent = set()
+
+        def complete(self, prompt, stop, temperature, most):
+            if "endless" in prompt:
+                return ">Prompt: " + "word " * 4000
+            first = prompt not in self.sent
+            self.sent.add(prompt)
+            return ">Prompt: -" if first or "hopeless" in prompt else ">Prompt: Write"
+
+    return InTurn
+
+
+def test_generate_retries_and_keeps_rejects(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(cli.generation.BACK_ENDS, "stub", _in_turn())
+    (tmp_path / "in" / "s").mkdir(parents=True)
+    for name, text in (("1", "plain"), ("2", "hopeless"), ("3", "endless")):
+        (tmp_path / "in" / "s" / f"{name}.txt").write_text(text)
+    (tmp_path / "t.txt").write_text(">Story: {story}\n>Context: {context}")
+    cli.main(["generate", str(tmp_path / "in"), str(tmp_path / "o"), "--template", str(tmp_path / "t.txt")], spark)
+    assert [(r["chunk"], json.loads(r["record"])["prompt"]) for r in _json(tmp_path / "o")] == [("1.json", "Write")]
+    rejects = {r["chunk"]: r for r in _json(tmp_path / "o_rejects")}
+    assert [(c, r["reason"], r["attempts"], len(r["junk"])) for c, r in sorted(rejects.items())] == [("1.txt", None, 2, 1), ("2.txt", "junk", 3, 3), ("3.txt", "length", 1, 0)]
+
+
 def test_inject_twice(spark, tree):
     args = ["inject", str(tree / "in"), str(tree / "o"), "--keys", "author", "genre", "--settings", str(tree / "settings.json")]
     with pytest.raises(SystemExit, match="fill in"):

@@ -159,6 +159,34 @@ def test_generation(spark, one):
     assert got[1]["answer"] is None and got[1]["attempts"] == 2 and got[1]["junk"] == ["", ""] and got[2]["attempts"] == 0
 
 
+def test_answers_are_judged_in_the_loop(spark, one):
+    class Client:
+        """Answers in turn, for each request anew."""
+
+        def __init__(self, replies):
+            self.replies, self.sent = replies, {}
+
+        def complete(self, prompt, stop, temperature, most):
+            n = self.sent[prompt] = self.sent.get(prompt, 0) + 1
+            return self.replies[min(n, len(self.replies)) - 1]
+
+    df = spark.createDataFrame([(1, "x", {"a": "b"}), (2, "y", None)], "id bigint, request string, m map<string,string>")
+    replies = ["no key", ">Tone: -", ">Tone: a fiddler", ">Tone: wry"]
+    got = generation.ask(df, ["id", "m"], "request", Client(replies), attempts=4, usable=generation.judge(["fiddler"])).orderBy("id").collect()
+    assert [(r["answer"], r["attempts"], r["junk"], r["m"]) for r in got] == [(">Tone: wry", 4, replies[:3], {"a": "b"}), (">Tone: wry", 4, replies[:3], None)]
+    left = generation.ask(df, ["id"], "request", Client(replies), attempts=3, usable=generation.judge(["fiddler"]))
+    assert [r[0] for r in left.select(generation.refusal(left, generation.first_example(F.col("answer")))).collect()] == ["junk", "junk"]
+    long = spark.createDataFrame([(i, f">Tone: {'w ' * i}", 1) for i in (3999, 4000)], "id bigint, answer string, attempts bigint")
+    assert [r[0] for r in long.orderBy("id").select(generation.refusal(long, generation.first_example(F.col("answer")))).collect()] == [None, "length"]
+    # the judge in a worker and the column forms agree
+    texts = ["", "x", ">a: ok\n\n>b: -", ">a: ok</s>", ">a: ok\n>", ">a:  b\r\nmore\r>c: d", ">a: ok\n>a: -", "lead\n> A : fine", ">a:", ">a: 1\n2", ">: ok", ">a: no\u2028w"]
+    for t in texts:
+        record = one(generation.first_example(F.lit(t)))
+        assert generation.answer_values(t) == list((record or {}).values()), t
+        assert generation.judge(["fine"])(t) is not one(generation.is_junk(generation.first_example(F.lit(t)), ["fine"])), t
+    assert not generation.judge()(">Tone: -\n>tone: wry") and generation.judge(remove=["tone"])(">Tone: -\n>x: ok")
+
+
 def test_grid(spark):
     got = template_grid(spark, "{a}-{b}", {"a": ["x", "y", "x"], "b": ["1"]}, 2).collect()
     assert len(got) == 6 and {r["out_file"] for r in got} == {"a0_b0__trial0.txt", "a0_b0__trial1.txt", "a1_b0__trial0.txt", "a1_b0__trial1.txt"}
