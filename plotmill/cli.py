@@ -40,10 +40,10 @@ def generate(spark: SparkSession, a: argparse.Namespace) -> None:
     parts = chunks.select("story", "chunk", F.coalesce("prompt", F.create_map().cast(records.STRING_MAP)).alias("old"), split.alias("split"), full.alias("full")).withColumn("s", context.split_context(F.col("full")))
     told = parts.select("story", "chunk", "old", F.when(F.col("split"), F.col("s.context")).otherwise("N/A").alias("before"), F.when(F.col("split"), F.col("s.story")).otherwise(F.col("full")).alias("told"), "split")
     most = params.get("response_length", 600)
-    requests = told.withColumn("request", fewshot.render(text, {"story": F.col("told"), "context": F.col("before")})).filter(generation.fits_window(F.col("request"), most))
+    requests = generation.within_window(told.withColumn("request", fewshot.render(text, {"story": F.col("told"), "context": F.col("before")})), "request", most)
     drop, names_ = params.get("remove_keys_from_result", []), params.get("rename_keys") or {}
     usable = generation.judge(a.blacklist, drop, names_)
-    asked = generation.ask(requests, ["story", "chunk", "old", "before", "told", "split"], "request", generation.client(a.back_end), a.attempts, params.get("stopping_strings", ["\n\n"]), params.get("temperature", 0.2), most, usable)
+    asked = generation.ask(requests, ["story", "chunk", "old", "before", "told", "split", "fits"], "request", generation.client(a.back_end), a.attempts, params.get("stopping_strings", ["\n\n"]), params.get("temperature", 0.2), most, usable)
     answers = cut_lineage(asked)
     made = records.rename_keys(records.without_keys(generation.first_example(F.col("answer")), drop), names_ or {"": ""})
     own = F.when(F.col("split"), F.create_map(F.lit("context"), F.trim("before"), F.lit("story"), F.trim("told"))).otherwise(F.create_map(F.lit("story"), F.trim("told")))

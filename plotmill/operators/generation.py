@@ -81,10 +81,16 @@ def client(name: str) -> Client:
 
 
 def fits_window(request: Column, answer: int, window: int = 8192) -> Column:
-    """L2: whether a request and its answer fit the model's window; rows that do not belong into a reject table."""
+    """L2: whether a request and its answer fit the model's window; rows that do not belong into a reject table (`within_window`)."""
     return token_count(request) + answer <= window
 
 
+def within_window(requests: DataFrame, request: str, answer: int, window: int = 8192) -> DataFrame:
+    """L2: all rows, with `fits`; a request that does not fit is null, so that it is not sent, and `refusal` says why."""
+    sized = requests.withColumn("fits", fits_window(F.col(request), answer, window))
+    return sized.withColumn(request, F.when(F.col("fits"), F.col(request)))
+
+
 def clean_answer(answer: Column) -> Column:
     """X-s10, X-s11: an answer without blank lines, end mark and trailing key mark."""
     kept = F.array_join(F.filter(F.split(answer, r"\r\n|\r|\n", -1), lambda x: strip(x) != ""), "\n")
@@ -158,8 +164,8 @@ def judge(blacklist: Sequence[str] = (), remove: Sequence[str] = (), rename: Map
 
 
 def refusal(answers: DataFrame, result: Column) -> Column:
-    """Why a row of `ask` has no result: `unanswered` (no request), `junk` (no usable answer), `length` (A14); null if it has one."""
-    return F.when(answers["attempts"] == 0, "unanswered").when(answers["answer"].isNull(), "junk").when(~F.coalesce(acceptable(result), F.lit(False)), "length")
+    """Why a row of `ask` that hands `fits` through has no result: `window` (L2), `unanswered` (no request), `junk` (no usable answer), `length` (A14); null if it has one."""
+    return F.when(~answers["fits"], "window").when(answers["attempts"] == 0, "unanswered").when(answers["answer"].isNull(), "junk").when(~F.coalesce(acceptable(result), F.lit(False)), "length")
 
 
 def ask(requests: DataFrame, keys: list[str], request: str, answerer: Client, attempts: int = 3, stop: Sequence[str] = ("\n\n",), temperature: float = 0.2, most: int = 600, usable: Callable[[str], bool] = bool) -> DataFrame:

@@ -80,6 +80,16 @@ def test_generate_retries_and_keeps_rejects(spark, tmp_path, monkeypatch):
     assert [(c, r["reason"], r["attempts"], len(r["junk"])) for c, r in sorted(rejects.items())] == [("1.txt", None, 2, 1), ("2.txt", "junk", 3, 3), ("3.txt", "length", 1, 0)]
 
 
+def test_generate_keeps_over_long_chunks(spark, tmp_path):
+    (tmp_path / "in" / "s").mkdir(parents=True)
+    (tmp_path / "in" / "s" / "1.txt").write_text("short")
+    (tmp_path / "in" / "s" / "2.txt").write_text("word " * 9000)
+    (tmp_path / "t.txt").write_text(">Story: {story}")
+    cli.main(["generate", str(tmp_path / "in"), str(tmp_path / "o"), "--template", str(tmp_path / "t.txt")], spark)
+    assert [r["chunk"] for r in _json(tmp_path / "o")] == ["1.json"]
+    assert [(r["chunk"], r["reason"], r["attempts"]) for r in _json(tmp_path / "o_rejects")] == [("2.txt", "window", 0)]
+
+
 def test_inject_twice(spark, tree):
     args = ["inject", str(tree / "in"), str(tree / "o"), "--keys", "author", "genre", "--settings", str(tree / "settings.json")]
     with pytest.raises(SystemExit, match="fill in"):

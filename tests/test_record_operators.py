@@ -174,9 +174,9 @@ def test_answers_are_judged_in_the_loop(spark, one):
     replies = ["no key", ">Tone: -", ">Tone: a fiddler", ">Tone: wry"]
     got = generation.ask(df, ["id", "m"], "request", Client(replies), attempts=4, usable=generation.judge(["fiddler"])).orderBy("id").collect()
     assert [(r["answer"], r["attempts"], r["junk"], r["m"]) for r in got] == [(">Tone: wry", 4, replies[:3], {"a": "b"}), (">Tone: wry", 4, replies[:3], None)]
-    left = generation.ask(df, ["id"], "request", Client(replies), attempts=3, usable=generation.judge(["fiddler"]))
+    left = generation.ask(df.withColumn("fits", F.lit(True)), ["id", "fits"], "request", Client(replies), attempts=3, usable=generation.judge(["fiddler"]))
     assert [r[0] for r in left.select(generation.refusal(left, generation.first_example(F.col("answer")))).collect()] == ["junk", "junk"]
-    long = spark.createDataFrame([(i, f">Tone: {'w ' * i}", 1) for i in (3999, 4000)], "id bigint, answer string, attempts bigint")
+    long = spark.createDataFrame([(i, f">Tone: {'w ' * i}", 1, True) for i in (3999, 4000)], "id bigint, answer string, attempts bigint, fits boolean")
     assert [r[0] for r in long.orderBy("id").select(generation.refusal(long, generation.first_example(F.col("answer")))).collect()] == [None, "length"]
     # the judge in a worker and the column forms agree
     texts = ["", "x", ">a: ok\n\n>b: -", ">a: ok</s>", ">a: ok\n>", ">a:  b\r\nmore\r>c: d", ">a: ok\n>a: -", "lead\n> A : fine", ">a:", ">a: 1\n2", ">: ok", ">a: no\u2028w"]
@@ -187,6 +187,13 @@ def test_answers_are_judged_in_the_loop(spark, one):
     assert not generation.judge()(">Tone: -\n>tone: wry") and generation.judge(remove=["tone"])(">Tone: -\n>x: ok")
 
 
+def test_requests_over_the_window_are_kept(spark):
+    df = spark.createDataFrame([(1, "w " * 7592), (2, "w " * 7593), (3, None)], "id bigint, request string")
+    got = generation.ask(generation.within_window(df, "request", 600), ["id", "fits"], "request", generation.StubClient())
+    rows = got.select("id", "attempts", "answer", generation.refusal(got, generation.first_example(F.col("answer"))).alias("reason")).orderBy("id").collect()
+    assert [(r["id"], r["attempts"], r["answer"] is None, r["reason"]) for r in rows] == [(1, 1, False, None), (2, 0, True, "window"), (3, 0, True, "unanswered")]
+
+
 def test_grid(spark):
     got = template_grid(spark, "{a}-{b}", {"a": ["x", "y", "x"], "b": ["1"]}, 2).collect()
     assert len(got) == 6 and {r["out_file"] for r in got} == {"a0_b0__trial0.txt", "a0_b0__trial1.txt", "a1_b0__trial0.txt", "a1_b0__trial1.txt"}
