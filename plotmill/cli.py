@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plotmill import sinks
 from plotmill.constants import VALIDATION_SHARE
-from plotmill.operators import chunking, context, dataset, fewshot, generation, grid, names, phrases, records, rows, screenplay
+from plotmill.operators import chunking, dataset, fewshot, generation, grid, names, phrases, records, rows, screenplay
 from plotmill.session import cut_lineage, get_spark
 from plotmill.sources import files
 from plotmill.sources.settings import extend_story_settings, json_file, replacement_lists, template
@@ -34,24 +34,10 @@ def generate(spark: SparkSession, a: argparse.Namespace) -> None:
     chunks = files.with_record(files.tree(spark, a.folder))
     if a.done:
         chunks = files.unprocessed(chunks, files.tree(spark, a.done, endings=(".json",)))
-    full = F.when(F.col("prompt").isNull(), F.col("raw")).otherwise(records.full_text(F.col("prompt")))
-    key = F.concat_ws("/", "story", "chunk")
-    split = context.continues(a.seed, key, has_story=F.col("prompt").isNotNull())
-    parts = chunks.select("story", "chunk", F.coalesce("prompt", F.create_map().cast(records.STRING_MAP)).alias("old"), split.alias("split"), full.alias("full")).withColumn("s", context.split_context(F.col("full")))
-    told = parts.select("story", "chunk", "old", F.when(F.col("split"), F.col("s.context")).otherwise("N/A").alias("before"), F.when(F.col("split"), F.col("s.story")).otherwise(F.col("full")).alias("told"), "split")
-    most = params.get("response_length", 600)
-    requests = generation.within_window(told.withColumn("request", fewshot.render(text, {"story": F.col("told"), "context": F.col("before")})), "request", most)
-    drop, names_ = params.get("remove_keys_from_result", []), params.get("rename_keys") or {}
-    usable = generation.judge(a.blacklist, drop, names_)
-    asked = generation.ask(requests, ["story", "chunk", "old", "before", "told", "split", "fits"], "request", generation.client(a.back_end), a.attempts, params.get("stopping_strings", ["\n\n"]), params.get("temperature", 0.2), most, usable)
-    answers = cut_lineage(asked)
-    made = records.rename_keys(records.without_keys(generation.first_example(F.col("answer")), drop), names_ or {"": ""})
-    own = F.when(F.col("split"), F.create_map(F.lit("context"), F.trim("before"), F.lit("story"), F.trim("told"))).otherwise(F.create_map(F.lit("story"), F.trim("told")))
-    joined = answers.withColumns({"made": made, "own": own}).withColumn("new", records.overlay(F.col("made"), F.col("own")))
-    judged = joined.withColumn("reason", generation.refusal(joined, F.col("new")))
-    merged = records.overlay(F.col("old"), F.col("new"))
-    sinks.write_records(judged.filter("reason IS NULL").select("story", files.output_name(F.col("chunk")).alias("chunk"), records.ordered(merged).alias("prompt")), a.out)
-    sinks.write_rejects(judged.filter("reason IS NOT NULL OR size(junk) > 0"), a.out.rstrip("/") + "_rejects")
+    answers = cut_lineage(generation.ask_for_chunks(chunks, ["story", "chunk"], text, generation.client(a.back_end), params, a.seed, a.attempts, a.blacklist))
+    made = generation.chunk_records(answers, params)
+    sinks.write_records(made.filter("reason IS NULL").select("story", files.output_name(F.col("chunk")).alias("chunk"), records.ordered(F.col("prompt")).alias("prompt")), a.out)
+    sinks.write_rejects(made.filter("reason IS NOT NULL OR size(junk) > 0"), a.out.rstrip("/") + "_rejects")
 
 
 def fewshot_without(spark: SparkSession, text: str, keys: list[str]) -> str:

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from plotmill.constants import IDEAL_TOKENS
 from plotmill.functions.text import strip, token_count
-from plotmill.operators.fewshot import parse
-from plotmill.operators.records import normalise_keys
+from plotmill.operators import context
+from plotmill.operators.fewshot import parse, render
+from plotmill.operators.records import STRING_MAP, normalise_keys, overlay, rename_keys, without_keys
 
 
 class Client(Protocol):
@@ -195,3 +196,40 @@ def ask(requests: DataFrame, keys: list[str], request: str, answerer: Client, at
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *made], [*keys, "answer", "attempts", "junk"])
 
     return requests.select(*dict.fromkeys([*keys, request])).mapInArrow(send, f"{fields}, answer string, attempts bigint, junk array<string>")
+
+
+def ask_for_chunks(chunks: DataFrame, keys: list[str], text: str, answerer: Client, params: Mapping | None = None, seed: int = 42, attempts: int = 3, blacklist: Sequence[str] = ()) -> DataFrame:
+    """X2, F7, X-s9, L2, L5: chunks `(<keys>, raw, prompt)` put into the template `text` and asked; `prompt` is the record a chunk holds, null for plain text.
+
+    A record with the key `story` is asked again with its own story and context and is never split; plain text, and an empty
+    object, may be split. A record without a story, and a null text, gives no request. Returns the columns of `ask` with those
+    that `chunk_records` needs; write the result before it is used twice.
+    """
+    params = params or {}
+    most, holds = params.get("response_length", 600), F.coalesce(F.size("prompt") > 0, F.lit(False))
+    redone = holds & F.coalesce(F.map_contains_key("prompt", F.lit("story")), F.lit(False))
+    known = chunks.select(*keys, "raw", F.when(holds, F.col("prompt")).otherwise(F.create_map().cast(STRING_MAP)).alias("old"), holds.alias("holds"), redone.alias("redone"))
+    drawn = known.withColumn("split", context.continues(seed, F.concat_ws("/", *keys), has_story=F.col("holds")))
+    halves = drawn.withColumn("s", F.when(F.col("split"), context.split_context(F.col("raw"))))
+    before = F.when(F.col("split"), F.col("s.context")).otherwise(F.coalesce(F.when(F.col("redone"), F.col("old")["context"]), F.lit("N/A")))
+    told = F.when(F.col("split"), F.col("s.story")).when(F.col("redone"), F.col("old")["story"]).when(~F.col("holds"), F.col("raw"))
+    parts = halves.select(*keys, "old", "split", before.alias("before"), told.alias("told"))
+    requests = within_window(parts.withColumn("request", render(text, {"story": F.col("told"), "context": F.col("before")})), "request", most)
+    usable = judge(blacklist, params.get("remove_keys_from_result", []), params.get("rename_keys"))
+    return ask(requests, [*keys, "old", "before", "told", "split", "fits"], "request", answerer, attempts, params.get("stopping_strings", ["\n\n"]), params.get("temperature", 0.2), most, usable)
+
+
+def chunk_records(answers: DataFrame, params: Mapping | None = None) -> DataFrame:
+    """Rows of `ask_for_chunks` with `prompt`, the values of the answer over the record there was, and `reason` (`refusal`).
+
+    The story is kept as it was asked, the context too where the chunk was split; `prompt` is null for rows with a reason.
+    """
+    params = params or {}
+    made = without_keys(first_example(F.col("answer")), params.get("remove_keys_from_result", []))
+    if names := params.get("rename_keys"):
+        made = rename_keys(made, names)
+    story = F.create_map(F.lit("story"), strip(F.col("told")))
+    own = F.when(F.col("split"), F.create_map(F.lit("context"), strip(F.col("before")), F.lit("story"), strip(F.col("told")))).otherwise(story)
+    new = answers.withColumns({"made": made, "own": own}).withColumn("new", overlay(F.col("made"), F.col("own")))
+    judged = new.withColumn("reason", refusal(new, F.col("new")))
+    return judged.withColumn("prompt", F.when(F.col("reason").isNull(), overlay(F.col("old"), F.col("new"))))

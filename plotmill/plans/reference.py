@@ -604,11 +604,9 @@ def result_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def generate_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = table(spark, sf_dir, "raw_chunks").filter("raw IS NOT NULL").select("story", "chunk", "raw", fewshot.render(TEMPLATE, {"story": F.col("raw"), "context": F.lit("N/A")}).alias("request"))
-    answers = generation.ask(generation.within_window(chunks, "request", 600), ["story", "chunk", "raw", "fits"], "request", generation.StubClient(), usable=generation.judge())
-    answers = answers.withColumns({"new": generation.first_example(F.col("answer")), "own": F.create_map(F.lit("story"), strip(F.col("raw")))})
-    judged = answers.withColumn("reason", generation.refusal(answers, records.overlay(F.col("new"), F.col("own"))))
-    return judged.select("story", "chunk", "attempts", F.when(F.col("reason").isNull(), F.to_json("new")).alias("record"), "reason", "junk")
+    chunks = files.with_record(table(spark, sf_dir, "raw_chunks"))
+    made = generation.chunk_records(generation.ask_for_chunks(chunks, ["story", "chunk"], TEMPLATE, generation.StubClient(), seed=SEED))
+    return made.select("story", "chunk", "attempts", F.to_json(records.ordered(F.col("prompt")), {"ignoreNullFields": "false"}).alias("record"), "reason", "junk")
 
 
 @query()

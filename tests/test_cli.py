@@ -80,6 +80,15 @@ def test_generate_retries_and_keeps_rejects(spark, tmp_path, monkeypatch):
     assert [(c, r["reason"], r["attempts"], len(r["junk"])) for c, r in sorted(rejects.items())] == [("1.txt", None, 2, 1), ("2.txt", "junk", 3, 3), ("3.txt", "length", 1, 0)]
 
 
+def test_generate_keeps_context_and_story_of_a_record(spark, tmp_path):
+    (tmp_path / "in" / "s").mkdir(parents=True)
+    (tmp_path / "in" / "s" / "1.json").write_text(json.dumps({"context": "Before.", "story": "Told.", "tone": "old"}))
+    (tmp_path / "t.txt").write_text(">Story: {story}\n>Context: {context}")
+    cli.main(["generate", str(tmp_path / "in"), str(tmp_path / "o"), "--template", str(tmp_path / "t.txt")], spark)
+    record = json.loads(_json(tmp_path / "o")[0]["record"])
+    assert (record["context"], record["story"], record["tone"]) == ("Before.", "Told.", "neutral")
+
+
 def test_generate_keeps_over_long_chunks(spark, tmp_path):
     (tmp_path / "in" / "s").mkdir(parents=True)
     (tmp_path / "in" / "s" / "1.txt").write_text("short")

@@ -41,6 +41,29 @@ def test_queries_without_sql_run(spark, name):
     assert df.count() >= 0 and df.columns
 
 
+def test_generate_prompts_is_the_whole_job(spark):
+    import json
+
+    from plotmill.session import table
+
+    raws = {(r["story"], r["chunk"], r["raw"]) for r in table(spark, SMALL, "raw_chunks").collect()}
+    rows = reference.QUERIES["generate_prompts"](spark, SMALL).collect()
+    assert len(rows) == table(spark, SMALL, "raw_chunks").count() and all((r["record"] is None) == (r["reason"] is not None) for r in rows)
+    made = Counter((r["story"], r["chunk"]) for r in rows)
+    assert made == Counter((r["story"], r["chunk"]) for r in table(spark, SMALL, "raw_chunks").select("story", "chunk").collect())
+    told = {(r["story"], r["chunk"], json.loads(r["record"])["story"]) for r in rows if r["record"]}
+    old, broken = [], []
+    for s, c, raw in raws:
+        try:
+            old += [(s, c, json.loads(raw)["story"])] if raw and raw.startswith("{") else []
+        except ValueError:  # plain text
+            broken.append((s, c, raw))
+    assert old and all((s, c, story.strip()) in told for s, c, story in old if story)
+    ends = {(s, c, story[-40:]) for s, c, story in told}
+    assert all((s, c, raw.strip()[-40:]) in ends or "\n" in raw.strip()[-40:] for s, c, raw in broken)
+    assert any(json.loads(r["record"])["context"] for r in rows if r["record"] and r["chunk"].endswith(".txt"))
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["story", "phrase", "count"]
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -194,6 +194,34 @@ def test_requests_over_the_window_are_kept(spark):
     assert [(r["id"], r["attempts"], r["answer"] is None, r["reason"]) for r in rows] == [(1, 1, False, None), (2, 0, True, "window"), (3, 0, True, "unanswered")]
 
 
+def test_a_record_asked_again_keeps_its_split(spark):
+    kept = {"prompt": "old", "context": " before ", "story": " told\n", "zeta": "z"}
+    rows = [("a", kept), ("b", {"story": "alone"}), ("c", {"context": "no story"}), ("d", {"story": None}), ("e", {}), ("f", None), ("g", None)]
+    raws = {"e": "{}", "f": "one\ntwo\nthree\nfour\n"}
+    df = spark.createDataFrame([("s", k, raws.get(k), m) for k, m in rows], "story string, chunk string, raw string, prompt map<string,string>")
+    echo = generation.StubClient(lambda request: ">Prompt: " + request.replace("\n", "/"))
+
+    def run(seed):
+        asked = generation.ask_for_chunks(df, ["story", "chunk"], "[{context}|{story}]", echo, seed=seed)
+        return {r["chunk"]: r for r in generation.chunk_records(asked).select("chunk", "prompt", "reason", "split").collect()}
+
+    got = run(1)
+    assert got["a"]["prompt"] == {"prompt": "[ before | told/]", "context": " before ", "story": "told", "zeta": "z"}
+    assert got["b"]["prompt"] == {"story": "alone", "prompt": "[N/A|alone]"}
+    assert [(got[k]["prompt"], got[k]["reason"]) for k in "cdg"] == [(None, "unanswered")] * 3
+    seen = {}
+    for seed in range(12):
+        r = run(seed)
+        assert not any(r[k]["split"] for k in "abcd")
+        seen[r["f"]["split"]] = r["f"]["prompt"]
+        if not r["e"]["split"]:
+            assert r["e"]["prompt"] == {"prompt": "[N/A|{}]", "story": "{}"}
+        if len(seen) == 2:
+            break
+    assert seen[True] == {"prompt": "[one/two|three/four]", "context": "one\ntwo", "story": "three\nfour"}
+    assert seen[False] == {"prompt": "[N/A|one/two/three/four/]", "story": "one\ntwo\nthree\nfour"}
+
+
 def test_grid(spark):
     got = template_grid(spark, "{a}-{b}", {"a": ["x", "y", "x"], "b": ["1"]}, 2).collect()
     assert len(got) == 6 and {r["out_file"] for r in got} == {"a0_b0__trial0.txt", "a0_b0__trial1.txt", "a1_b0__trial0.txt", "a1_b0__trial1.txt"}
