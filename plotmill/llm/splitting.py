@@ -35,7 +35,7 @@ def boundaries(text: str) -> tuple[list[int], list[int], list[int]]:
 
 
 def coarsest(text: str, limit: int = LIMIT) -> int:
-    """The strongest level at which every unit fits into `limit`."""
+    """The strongest level at which every unit fits into `limit`, by a plain scan; the check of `sufficient`."""
     ends, starts, level = boundaries(text)
     for least in (PARAGRAPH, SENTENCE, WORD):
         at, fits = len(text) - len(text.lstrip()), True
@@ -71,7 +71,34 @@ class RangeMaximum:
         return b if self.values[b] >= self.values[a] else a
 
 
-def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, int]]:
+Index = tuple[list[int], list[int], list[int], RangeMaximum]
+
+
+def index(text: str, limit: int = LIMIT) -> Index:
+    """The `boundaries` of `text` and the range maximum over their strengths, for windows of up to `limit` characters."""
+    ends, starts, level = boundaries(text)
+    return ends, starts, level, RangeMaximum(level, limit + 1)
+
+
+def sufficient(text: str, limit: int = LIMIT, at: Index | None = None) -> int:
+    """The strongest level at which every unit fits into `limit`: the least of the maxima of windows laid end to end.
+
+    Each window begins where the strongest cut of the one before leads, the rightmost among equals. A level that suffices has a
+    cut in any window, so none of the maxima is below it; and all cuts taken are at least of the least maximum, no two of them
+    more than `limit` apart.
+    """
+    ends, starts, level, table = at or index(text, limit)
+    least, start, stop = PARAGRAPH, len(text) - len(text.lstrip()), len(text.rstrip())
+    while stop - start > limit:
+        lo, hi = bisect_right(ends, start), bisect_right(ends, start + limit)
+        if lo >= hi:
+            return CHARACTER
+        pick = table.of(lo, hi)
+        least, start = min(least, level[pick]), starts[pick]
+    return least
+
+
+def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP, at: Index | None = None) -> list[tuple[int, int, int, int]]:
     """Pieces of `text` as (start, end, strength of the cut at the end, overlap with the piece before).
 
     Each piece has at most `limit` characters, the pieces cover all but blanks, and each starts up to `overlap` characters
@@ -80,8 +107,7 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than the limit")
-    ends, starts, level = boundaries(text)
-    table = RangeMaximum(level, limit + 1)
+    ends, starts, level, table = at or index(text, limit)
     out: list[tuple[int, int, int, int]] = []
     start, done, stop = len(text) - len(text.lstrip()), 0, len(text.rstrip())
     if start >= stop:
@@ -132,7 +158,8 @@ def split_oversized(df: DataFrame, text: str = "text", key: str = "doc_id", limi
             at: list[int] = []
             cols: list[list] = [[] for _ in range(8)]
             for i, body in enumerate(batch.column(1).to_pylist()):
-                got, least = cut(body, limit, overlap), NAMES[coarsest(body, limit)]
+                known = index(body, limit)
+                got, least = cut(body, limit, overlap, known), NAMES[sufficient(body, limit, known)]
                 for k, (s, e, strength, over) in enumerate(got):
                     at.append(i)
                     for c, v in zip(cols, (k + 1, len(got), s, e, over, NAMES[strength], least, body[s:e]), strict=True):

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from plotmill.llm.splitting import RangeMaximum, coarsest, cut, split_oversized
+from plotmill.llm.splitting import RangeMaximum, coarsest, cut, split_oversized, sufficient
 
 
 @settings(max_examples=200, deadline=None)
@@ -65,6 +65,17 @@ def test_coarsest_against_splitting():
         assert coarsest(t, 20) == _boundary(t, 20), t
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="aab .\n!\"é", max_size=200), st.integers(1, 40))
+def test_level_by_range_maxima_is_that_of_the_scan(text, limit):
+    assert sufficient(text, limit) == coarsest(text, limit)
+
+
+def test_the_table_takes_its_level_from_the_range_maxima():
+    assert any("sufficient" in getattr(c, "co_names", ()) and "coarsest" not in c.co_names for c in split_oversized.__code__.co_consts)
+    assert sufficient("One two.\nThree four.", 12) == 3 and sufficient("One two. Three four.", 12) == 2 and sufficient("one two three", 5) == 1 and sufficient("abcdef", 5) == 0
+
+
 def test_table(spark):
     rows = [(1, "word " * 1000, "k"), (1, "word " * 1000, "k"), (2, None, ""), (3, "", None), (4, "  \n", "z"), (5, "short", "a"), (None, "y" * 50_000, "b")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, piece string")
