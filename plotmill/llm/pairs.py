@@ -29,8 +29,8 @@ _LISTS = {lang: frozenset(text.split()) for lang, text in FUNCTION_WORDS.items()
 #: "Nearly all" in another language: at least so many of its function words, and at most this share of the prompt's.
 LEAST_HITS, MOST_OWN = 3, 0.2
 
-#: A refusal has at most so many sentences; each of another kind than below counts as narrative.
-MAX_REFUSAL_SENTENCES = 5
+#: Sentences of another kind than below are narrative; a refusal, of whatever length, holds at most one of under `TOLD_LENGTH` characters, or this share of its sentences and characters.
+TOLD_SHARE, TOLD_LENGTH = 0.2, 120
 _APOSTROPHE = str.maketrans({"’": "'", "‘": "'", "ʼ": "'", "´": "'"})
 
 # Phrases that decline, by language.
@@ -63,6 +63,7 @@ _AROUND = re.compile(
     re.X | re.I,
 )
 _WORD = re.compile(r"[^\W_]+")
+_ITEM = re.compile(r"\s*(?:[-*•‣◦▪]|\(?\d+[.)])(?:\s|$)")
 _TERMINAL = re.compile(r"(?:[.!?…。！？؟।][\"'”’»«)\]}*_~]*|[\"”»)\]]|\*{1,3}|~|—\s*(?:end|fin|ende|fine)\W*)\s*$", re.I)
 _SENTENCES = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n+")
 _ZERO_WIDTH = re.compile("[\u200b-\u200f\u2060\ufeff\u00ad]")
@@ -103,36 +104,78 @@ def is_empty(story: str | None) -> bool:
     return not tokens or " ".join(tokens) in NOTHINGS
 
 
+def _sentences(text: str) -> list[tuple[str, bool]]:
+    """Sentences, and whether each begins a line."""
+    out, at, fresh = [], 0, True
+    for m in _SENTENCES.finditer(text):
+        if text[at : m.start()].strip():
+            out.append((text[at : m.start()], fresh))
+            fresh = False
+        fresh |= "\n" in m[0]
+        at = m.end()
+    return [*out, (text[at:], fresh)] if text[at:].strip() else out
+
+
 def is_refusal(story: str) -> bool:
-    """All of it declines: every sentence outside quotes refuses or is a courtesy around a refusal."""
-    if len(story) > 1200:
-        return False
+    """All of it declines: sentences outside quotes refuse, are a courtesy around a refusal or items of a list after one, but for `TOLD_SHARE`."""
+    text = story.translate(_APOSTROPHE)
+    sentences = _sentences(text)
+    declined = listed = False
+    told = length = 0
+    most, longest = (max(1, TOLD_SHARE * len(sentences)), max(TOLD_LENGTH, TOLD_SHARE * len(text))) if len(sentences) > 1 else (0, 0)
+    for k, (s, fresh) in enumerate(sentences):
+        if fresh:
+            listed = declined and _ITEM.match(s) is not None
+        if _DECLINES.search(s):
+            declined = True
+        elif not (listed or _AROUND.match(s.strip(" \t*_>-#\"'"))):
+            if declined and s.rstrip(" \t*_").endswith(":") and k + 1 < len(sentences) and sentences[k + 1][1] and _ITEM.match(sentences[k + 1][0]):
+                continue  # leads to a list
+            told, length = told + 1, length + len(s)
+            if told > most or length >= longest or any(c in s for c in '"“”'):
+                return False
     body = re.sub(r"\s+", " ", _ZERO_WIDTH.sub("", story)).strip().translate(_APOSTROPHE)
-    if (m := _DECLINES.search(body)) is None or body[:1] in "\"“„«" or '"' in body[: m.start()]:
-        return False
-    sentences = [s for s in _SENTENCES.split(story.translate(_APOSTROPHE)) if s.strip()]
-    told = [s for s in sentences if not _DECLINES.search(s) and not _AROUND.match(s.strip(" \t*_>-#\"'"))]
-    return len(sentences) <= MAX_REFUSAL_SENTENCES and len(told) <= (1 if len(sentences) > 1 and not any(c in s for s in told for c in '"“”') and sum(len(s) for s in told) < 120 else 0)
+    m = _DECLINES.search(body)
+    return m is not None and body[:1] not in "\"“„«" and '"' not in body[: m.start()]
 
 
-#: A response may add so many words to the prompt before it and after it (an introduction, one sentence) and is still an echo.
+#: A response may add so many words, or one sentence, to the prompt before it and after it and is still an echo; so many words of a prompt of one line count as its heading.
 ECHO_BEFORE, ECHO_AFTER, ECHO_HEADING = 25, 45, 8
 
 
-def is_echo(prompt: list[str], story: list[str], raw: str) -> bool:
-    """The words of the prompt in order, with or without its heading, and at most one sentence besides."""
-    if len(prompt) < 4 or len(story) > len(prompt) + ECHO_BEFORE + ECHO_AFTER or len(story) < 0.5 * len(prompt):
-        return False
+def heading(prompt: str) -> int:
+    """Words of the line that leads to a list of items."""
+    first, _, rest = prompt.strip().partition("\n")
+    return len(words(first)) if _ITEM.match(rest.lstrip()) and not _ITEM.match(first) else 0
+
+
+def is_echo(prompt: list[str], story: list[str], raw: str, lead: int = 0) -> bool:
+    """The words of the prompt in order, with or without its heading (`lead` words, or `ECHO_HEADING`), and at most one sentence besides; all of them if there are under four."""
+    if len(prompt) < 4:
+        return bool(prompt) and prompt == story
+    most = min(max(ECHO_HEADING, lead), len(prompt) - 4)
     text = " " + " ".join(story) + " "
-    for skip in range(min(ECHO_HEADING, len(prompt) - 4) + 1):
+    if " " + " ".join(prompt[most:]) + " " not in text:
+        return False
+    for skip in range(most + 1):
         at = text.find(" " + " ".join(prompt[skip:]) + " ")
         if at >= 0:
             before = text[:at].count(" ")
             after = len(story) - before - (len(prompt) - skip)
-            return before <= ECHO_BEFORE and after <= ECHO_AFTER
+            if len(story) < 0.5 * len(prompt) and skip != lead:
+                return False
+            return (before <= ECHO_BEFORE or _one_sentence(raw, 0, before)) and (after <= ECHO_AFTER or _one_sentence(raw, len(story) - after, len(story)))
     return False
 
 
+def _one_sentence(raw: str, first: int, last: int) -> bool:
+    """Whether the words `first` to `last` of a text are of one sentence."""
+    low = raw.lower()
+    spans = [m.span() for m in _WORD.finditer(low)]
+    part = low[spans[first][0] : spans[last - 1][1]]
+    return sum(bool(_WORD.search(s)) for s in _SENTENCES.split(part)) <= 1
+
+
 def is_truncated(story: str) -> bool:
     body = _ZERO_WIDTH.sub("", story).rstrip() if _ZERO_WIDTH.search(story) else story.rstrip()
     if not _TERMINAL.search(body[-12:]):
@@ -173,7 +216,7 @@ def defects(prompt: str | None, story: str | None) -> list[str]:
     found, asked, told = [], words(prompt or ""), words(story)
     if is_refusal(story):
         found.append("refusal")
-    if is_echo(asked, told, story):
+    if is_echo(asked, told, story, heading(prompt or "")):
         found.append("echo")
     if is_other_language(prompt or "", asked, story, told):
         found.append("language")

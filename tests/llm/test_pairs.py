@@ -42,6 +42,31 @@ def test_defects(ask, told, found):
     assert defects(ask, told) == found
 
 
+SORRY = "I'm sorry, but I can't write this scene."
+LIST = "\n".join(f"{{}} a scene in which the warden and Oryne talk about the letter in the quiet harbour, number {k}" for k in range(12))
+LONG_ASK = "Write one quiet scene in the manner of an old harbour tale where\n- the warden lifts the copper letter"
+
+
+@pytest.mark.parametrize(
+    ("ask", "told", "first"),
+    [
+        (ASK, f"{SORRY} Some alternatives:\n{LIST.format(*['-'] * 12)}.\nLet me know which one you like.", "refusal"),
+        (ASK, f"{SORRY}\n\nYou might consider one of these:\n" + "\n".join(f"{k}. A gentler scene. Oryne is calm." for k in range(1, 8)), "refusal"),
+        (ASK, " ".join([SORRY, "I cannot help with the letter.", "Please ask for another scene.", "Perhaps the harbour could be quiet."] * 12), "refusal"),
+        (ASK, f"{SORRY} {TALE} " + "The warden kept the letter. " * 30, None),
+        (ASK, "I could not help him. " + "The tide came in. The warden left. " * 20, None),
+        (ASK, "The list was long.\n- bread\n- salt\nI could not help him.", None),
+        (LONG_ASK, "The warden lifts the copper letter.", "echo"),
+        (ASK, ASK + ".\nThen " + "and the harbour fell quiet " * 12 + "again.", "echo"),
+        (ASK, ASK + ".\n" + "Then the harbour fell quiet. " * 12, None),
+        ("Go on.", "Go on.", "echo"),
+        ("Go on.", "Go on, said the warden.", None),
+    ],
+)
+def test_no_cap_of_length(ask, told, first):
+    assert next(iter(defects(ask, told)), None) == first
+
+
 def test_table(spark):
     rows = [(1, ASK, None), (1, ASK, None), (2, None, TALE), (None, ASK, "N/A"), (3, "", TALE * 3000)]
     df = spark.createDataFrame(rows, "record_id bigint, ask string, told string").withColumn("key", F.lit(1))
