@@ -5,11 +5,13 @@ doubled or back-slashed inner quotes, or a JSON array). Which dialect a field is
 length. The words of all fields are counted over the whole collection, hashed into a table of fixed size (`WORD_BINS`), and give the
 code length of a value: the sum of the code lengths of its words, an escape and a price a character for words never seen,
 and an end mark. A dialect costs a fixed number of bits for each delimiter kind that it uses. Each field is parsed with
-every dialect whose delimiters occur in it, and the cheapest parse is kept.
+every dialect whose delimiters occur in it, and the cheapest parse is kept. Delimiters within parentheses, and within quotes
+that by their form enclose an entry, divide under no dialect: a quoted entry holds them because they are not to divide.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import math
@@ -26,8 +28,6 @@ from plotmill.session import spread
 #: Size of the hashed word-count table that is sent to the workers (256 kB, whatever the input).
 WORD_BINS = 1 << 15
 ESCAPE_BITS, CHAR_BITS, END_BITS, DIALECT_BITS = 14.0, 5.0, 1.0, 3.0
-#: Kinds of delimiter looked at together in one field; a field with more is parsed with all of them or a single one.
-SUBSET_KINDS = 6
 
 # Whole fields that stand for "nothing" (lower case).
 STAND_INS = ("", "n/a", "na", "none", "null", "nil", "unnamed", "unknown", "anonymous", "various", "-", "--", "—", "?", "tbd")
@@ -140,14 +140,11 @@ def parse_field(text: str | None, coder: Coder) -> list[str]:
     kinds = sorted({k for _, _, k in cuts})
     if not kinds:
         return [v] if (v := _unquote(text)) else []
-    if len(kinds) <= SUBSET_KINDS:
-        dialects = itertools.chain.from_iterable(itertools.combinations(kinds, n) for n in range(len(kinds), -1, -1))
-    else:
-        dialects = iter([tuple(kinds), *((k,) for k in kinds), ()])
-    best, least = [], math.inf
+    dialects = itertools.chain.from_iterable(itertools.combinations(kinds, n) for n in range(len(kinds), -1, -1))
+    best, least, cost = [], math.inf, functools.cache(coder.value)
     for dialect in dialects:
         values = _pieces(text, cuts, frozenset(dialect))
-        bits = DIALECT_BITS * len(dialect) + sum(map(coder.value, values))
+        bits = DIALECT_BITS * len(dialect) + sum(map(cost, values))
         if bits < least:
             best, least = values, bits
     return best

@@ -50,6 +50,13 @@ def test_round_trip(names, mark):
     assert parse_field(mark.join(names), coder) == names
 
 
+def test_every_subset_of_many_kinds():
+    values = ["Oris", "Maran", "AC/DC", "R&B", "P|Q", "Wilora", "Elic\tPell"]
+    coder = Coder({})
+    coder.word = lambda w: 5.0 if w in values else 60.0
+    assert parse_field("Oris, Maran; AC/DC, R&B; P|Q, Wilora\nElic\tPell", coder) == values
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_never_fails(raw):
