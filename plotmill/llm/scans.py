@@ -193,7 +193,7 @@ def damage(word: str, rng: random.Random) -> tuple[str, tuple[Edit, ...]]:
 
 
 def train(lexicon: Lexicon, seed: int = 42) -> Editor:
-    """An editor trained on the `TRAIN_WORDS` most frequent words and as many rarer ones: damaged, sound, and sound but unknown."""
+    """An editor trained on the `TRAIN_WORDS` most frequent words: damaged, sound, and sound but passed off as rare."""
     rng = random.Random(seed)
     words = [w for w, _ in sorted(lexicon.counts.items(), key=lambda x: (-x[1], x[0])) if 3 <= len(w) <= LONGEST and w.isalpha()]
     sure = [w for w in words if lexicon.level(w) >= 4][:TRAIN_WORDS]
