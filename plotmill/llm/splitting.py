@@ -102,8 +102,8 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP, at: Index | None
     """Pieces of `text` as (start, end, strength of the cut at the end, overlap with the piece before).
 
     Each piece has at most `limit` characters, the pieces cover all but blanks, and each starts up to `overlap` characters
-    before the end of the one before, at a word start where there is one. The cut is the strongest in the later half of the
-    permissible window, the rightmost among equals; the earlier half is asked only if the later holds no boundary at all.
+    before the end of the one before, at a word start where there is one. The cut is the strongest in the whole permissible
+    window, the rightmost among equals.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than the limit")
@@ -116,18 +116,12 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP, at: Index | None
         if stop - start <= limit:
             out.append((start, stop, PARAGRAPH, max(0, done - start)))
             return out
-        hi = bisect_right(ends, start + limit)
-        floor = max(done, start) + 1
-        pick = None
-        for low in (max(floor, start + limit // 2), floor):
-            lo = bisect_left(ends, low)
-            if lo < hi:
-                pick = table.of(lo, hi)
-                break
-        if pick is None:
-            end, resume, strength = start + limit, start + limit, CHARACTER
-        else:
+        lo, hi = bisect_right(ends, max(done, start)), bisect_right(ends, start + limit)
+        if lo < hi:
+            pick = table.of(lo, hi)
             end, resume, strength = ends[pick], starts[pick], level[pick]
+        else:
+            end, resume, strength = start + limit, start + limit, CHARACTER
         out.append((start, end, strength, max(0, done - start)))
         done = end
         if overlap == 0:

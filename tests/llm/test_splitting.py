@@ -48,6 +48,40 @@ def test_prefers_strong_boundaries_and_the_rightmost():
     assert pieces("x" * 25, 10) == ["x" * 10, "x" * 10, "x" * 5]
 
 
+def _plain_cut(text, limit, overlap):
+    """Pieces by looking at every place of every window."""
+    sound = text.strip()
+    first = text.index(sound) if sound else 0
+    stop = first + len(sound)
+    gaps = [m.span() for m in re.finditer(r"\s+", text) if 0 < m.start() < len(text)]
+    strength = {a: 3 if re.search(r"[\r\n]", text[a:b]) else 2 if re.search(r"[.!?…][\"'”’»)\]]*$", text[:a]) else 1 for a, b in gaps}
+    after = dict(gaps)
+    out, start, done = [], first, 0
+    while sound:
+        if stop - start <= limit:
+            return [*out, (start, stop)]
+        window = [e for e in strength if max(done, start) < e <= start + limit]
+        end = max(window, key=lambda e: (strength[e], e)) if window else start + limit
+        out.append((start, end))
+        done = end
+        back = max(end - overlap, start + 1)
+        near = [s for s in after.values() if back <= s < end]
+        start = after.get(end, end) if not overlap else min(near) if near else after.get(end, back)
+    return out
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="aab .\n!\"é", max_size=200), st.integers(5, 40), st.data())
+def test_pieces_against_looking_everywhere(text, limit, data):
+    overlap = data.draw(st.integers(0, limit - 1))
+    assert [(s, e) for s, e, *_ in cut(text, limit, overlap)] == _plain_cut(text, limit, overlap)
+
+
+def test_an_early_strong_boundary_beats_a_late_weak_one():
+    text = "a" * 900 + ".\n" + "b" * 1490 + " " + "c" * 900
+    assert cut(text, 2400, 0)[0][1:3] == (901, 3)
+
+
 def _boundary(t, n):
     lines = re.split(r"[\r\n]+", t)
     if all(len(x) <= n for x in lines):
