@@ -1,7 +1,7 @@
 import random
 import re
 
-from plotmill.llm.leakage import leaked_passages
+from plotmill.llm.leakage import _shingled, _worded, leaked_passages
 
 
 def _plain(docs, items, n=12):
@@ -45,3 +45,23 @@ def test_longest_run(spark):
     docs = spark.createDataFrame([(1, "x " + text + " y"), (2, " ".join(text.split()[3:18]))], "doc_id bigint, text string")
     got = {r["doc_id"]: (r["runs"], r["longest"]) for r in leaked_passages(docs, spark.createDataFrame([(9, text)], "item_id bigint, text string")).collect()}
     assert got == {1: (1, 40), 2: (1, 15)}
+
+
+def test_texts_of_one_item_key_and_one_document_key(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    items = spark.createDataFrame([(1, a), (1, b), (2, c)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "x " + b), (2, a + " " + b), (3, a[:20]), (3, c), (3, c), (4, " ".join(c.split()[:11]))], "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["runs"], r["longest"]) for r in leaked_passages(docs, items).collect()}
+    assert got == {(1, 1): (1, 20), (2, 1): (2, 20), (3, 2): (1, 20)}
+
+
+def test_over_200_000_item_shingles_and_no_words_beside_them(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(f"w{rng.randint(0, 40_000)}" for _ in range(110))) for i in range(2000)]
+    docs = [(d, " ".join(f"w{rng.randint(0, 40_000)}" for _ in range(60)) + " " + " ".join(items[d * 7 % 2000][1].split()[30 : 30 + 10 + d % 5])) for d in range(100)]
+    a, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leaked_passages(a, b).collect()}
+    assert got == {(d, d * 7 % 2000) for d in range(100) if d % 5 >= 2}
+    plan = _shingled(_worded(a, "doc_id", "text", 12))._jdf.queryExecution().executedPlan().toString()
+    made = [line for line in plan.splitlines() if "Generate" in line]
+    assert made and not any("words" in line for line in made)
