@@ -2,6 +2,9 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from plotmill.llm import canonical
 from plotmill.llm.canonical import map_to_canonical
 from plotmill.llm.frequency import RANGE, term_counts
 
@@ -57,3 +60,47 @@ def test_common(spark):
     df = spark.createDataFrame([(i, {"g": "a" if i % 2 else f"b{i % 10}"}) for i in range(40)], "record_id bigint, prompt map<string,string>")
     marks = {r["term"]: r["mark"] for r in term_counts(df, ["g"]).collect()}
     assert marks == {"a": "common", "b0": None, "b2": None, "b4": None, "b6": None, "b8": None}
+
+
+def test_candidates_are_few_and_hold_every_pair_over_the_threshold(spark):
+    import itertools
+    import math
+    import random
+
+    rng = random.Random(6)
+    parts = "mel an cho lic ten der bit sar don ic whim si cal gri tty sol emn bra zen flu ent ram blin g".split()
+    names = sorted({"".join(rng.choices(parts, k=rng.randint(2, 4))) for _ in range(60)})
+    typed = sorted({n[:k] + rng.choice("aeix") + n[k + 1 :] for n in names for k in (rng.randrange(len(n)),)} | {f"box {i}" for i in range(20)})
+    entries = spark.createDataFrame([("f", i, n) for i, n in enumerate(names)], "field string, tag_id bigint, name string")
+    values = spark.createDataFrame([("f", v) for v in typed], "field string, value string")
+
+    def vectors(df, who):
+        return {k: dict((r["g"], r["n"]) for r in rs) for k, rs in itertools.groupby(sorted(df.select(who, canonical.grams(F.col(who)).alias("gs")).select(who, F.explode("gs").alias("g")).groupBy(who, "g").agg(F.count("*").alias("n")).collect(), key=lambda r: r[who]), key=lambda r: r[who])}
+
+    own, known = vectors(values, "value"), vectors(entries, "name")
+    df = Counter(g for v in known.values() for g in v)
+
+    def weighed(v):
+        x = {g: n * (0.8 if g[0] == "=" else 1.0) * (1 + math.log(len(names) / max(df[g], 1))) for g, n in v.items()}
+        size = math.sqrt(sum(y * y for y in x.values()))
+        return {g: y / size for g, y in x.items()}
+
+    own, known = {k: weighed(v) for k, v in own.items()}, {k: weighed(v) for k, v in known.items()}
+    cosine = {(v, n): sum(y * known[n].get(g, 0.0) for g, y in own[v].items()) for v in own for n in known}
+    counts = entries.select("field", "tag_id", "name", F.explode(canonical.grams(F.col("name"))).alias("g")).groupBy("field", "tag_id", "name", "g").agg(F.count("*").alias("n"))
+    totals, weights = entries.groupBy("field").agg(F.count("*").alias("total")), counts.groupBy("field", "g").agg(F.count("*").alias("df"))
+    index = canonical._vectors(counts, weights, totals, ["tag_id", "name"])
+    mine = values.select("field", "value", F.explode(canonical.grams(F.col("value"))).alias("g")).groupBy("field", "value", "g").agg(F.count("*").alias("n"))
+    pairs = {(r["value"], r["name"]) for r in canonical.candidates(canonical._vectors(mine, weights, totals, ["value"]), index).collect()}
+    over = {p for p, c in cosine.items() if c >= canonical.THRESHOLD + 1e-9}
+    assert over <= pairs and len(over) > 30 and len(pairs) < 0.2 * len(cosine)
+    best = {v: max((c for (w, _), c in cosine.items() if w == v)) for v in own}
+    got = {r["value"]: r["score"] for r in canonical.match_values(values, entries).collect()}
+    assert all(got[v] == pytest.approx(b) for v, b in best.items() if b >= canonical.THRESHOLD + 1e-9)
+
+
+def test_qualifiers_are_learnt(spark):
+    vocab = spark.createDataFrame([(i, "tone", t, None) for i, t in enumerate(["tense", "solemn", "whimsical", "brazen"], 1)], "tag_id bigint, field string, tag string, also_called string")
+    typed = ["zonkly tense", "zonkly solemn", "zonkly whimsical throughoutly", "tense throughoutly", "brazen throughoutly", "zonkly brazne throughoutly", "zonkly", "zonkly throughoutly"]
+    df = spark.createDataFrame([(i, {"tone": v}) for i, v in enumerate(typed)], "record_id bigint, prompt map<string,string>")
+    assert {typed[r["record_id"]]: r["tag_id"] for r in map_to_canonical(df, vocab, ["tone"]).collect()} == dict(zip(typed, [1, 2, 3, 1, 4, 4, 0, 0], strict=True))
