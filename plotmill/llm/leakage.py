@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plotmill.functions.text import let
 from plotmill.session import broadcast_if_small, cut_lineage
 
 #: Words of a passage that count as a leak, and words of a shingle.
@@ -80,7 +81,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id",
     # one row a document, with as many places as it may have; its words are brought once
     wanted = cut_lineage(matches.groupBy("id").agg(F.collect_list(F.struct("item", "s", "at", "passage")).alias("places")))
     held = worded.join(broadcast_if_small(wanted), "id")
-    true = F.filter("places", lambda p: F.slice(F.col("words"), p["at"], window) == p["passage"])
+    true = let(F.col("words"), lambda words: F.filter("places", lambda p: F.slice(words, p["at"], window) == p["passage"]))  # words are told once a row
     found = held.select("id", F.explode(true).alias("p")).select(F.col("id").alias("doc"), F.col("p.item.id").alias("item"), "p.at", "p.s").distinct()
     # consecutive windows on one diagonal are one run
     line = Window.partitionBy("doc", "item", F.col("at") - F.col("s")).orderBy("s")
