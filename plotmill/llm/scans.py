@@ -28,17 +28,23 @@ MISREADINGS = (
     ("i", "l"), ("l", "i"), ("n", "u"), ("u", "n"), ("d", "cl"), ("u", "ii"), ("m", "rn"), ("m", "nn"), ("w", "vv"), ("li", "h"), ("h", "li"), ("rn", "m"), ("cl", "d"), ("nn", "m"), ("n", "ri"), ("a", "o"), ("y", "v"),
     ("nn", "rm"), ("mn", "rrm"), ("d", "c1"), ("el", "d"), ("di", "ch"), ("lu", "hi"), ("in", "m"), ("ni", "m"), ("fi", "ﬁ"), ("ti", "ﬁ"), ("fl", "ﬂ"), ("ff", "ﬀ"),
 )
-#: Words the editor is trained on, how often, and the longest word it looks at.
-TRAIN_WORDS, EPOCHS, LONGEST = 2500, 3, 24
+#: Words the editor is trained on, and how often.
+TRAIN_WORDS, EPOCHS = 2500, 3
+#: Share of words it also meets with a letter lost, added or read as any other.
+SMUDGED = 0.25
+#: What an edit that is no known misreading costs at least.
+LEAST_COST = -1.0
+#: Level of words that are usual: those that repairs lead to, at most 160,000 whatever the corpus.
+USUAL = 4
 #: The lexicon holds words of at least this share of all words, so it has at most a million entries, whatever the corpus.
 LEAST_SHARE = 1e-6
-MOST_EDITS, MOST_CANDIDATES = 3, 400
 
 _WORD = re.compile(r"[^\W_]+")
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 _NUMERAL = re.compile(r"\d+(?:st|nd|rd|th|s)?")
 _HYPHENS = "-‐‑¬\u00ad"
-_SOURCES = sorted({wrong for _, wrong in MISREADINGS}, key=len, reverse=True)
+_LIGATURES = frozenset("ﬀﬁﬂ")
+_WIDTHS = sorted({len(wrong) for _, wrong in MISREADINGS}, reverse=True)
 _REPAIRS: dict[str, list[str]] = {}
 for _right, _wrong in MISREADINGS:
     _REPAIRS.setdefault(_wrong, []).append(_right)
@@ -82,10 +88,11 @@ def count_words(texts: DataFrame, column: str) -> Lexicon:
 
 
 Edit = tuple[int, str, str]  # place, what stands there, what should
+_READ = {(wrong, right) for right, wrong in MISREADINGS}
 
 
 def edits_at(word: str) -> list[Edit]:
-    return [(i, wrong, right) for i in range(len(word)) for wrong in _SOURCES if word.startswith(wrong, i) for right in _REPAIRS[wrong]]
+    return [(i, wrong, right) for i in range(len(word)) for n in _WIDTHS for wrong in (word[i : i + n],) for right in _REPAIRS.get(wrong, ()) if i + n <= len(word)]
 
 
 def apply(word: str, edits: tuple[Edit, ...]) -> str:
@@ -107,47 +114,142 @@ def operations(edit: Edit) -> list[tuple[int, str, str]]:
 
 @dataclass
 class Editor:
-    """Averaged perceptron: scores a set of operations on a word against keeping it as it is."""
+    """Averaged perceptron over character operations: at each place of a word keep, replace, delete or insert, scored by the operation, its neighbours and what the lexicon says of the result."""
 
     lexicon: Lexicon
     weights: dict[str, float] = field(default_factory=dict)
     kept: dict[str, str | None] = field(default_factory=dict)
-
-    def features(self, word: str, edits: tuple[Edit, ...], level: int) -> list[str]:
-        if not edits:
-            return []
-        padded = "^" + word + "$"
-        out = []
-        for edit in edits:
+    lifts: dict[tuple[int, int], float] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.usual = {w for w in self.lexicon.counts if self.lexicon.level(w) >= USUAL and w.isalpha()}
+        self.prefixes = {w[:k] for w in self.usual for k in range(len(w) + 1)}
+        self.letters = sorted({c for w in self.usual for c in w})
+        self.longest = max(map(len, self.lexicon.counts), default=0)
+        self.top = max(map(self.lexicon.level, self.usual), default=USUAL)
+
+    def places(self, word: str, edit: Edit) -> list[str]:
+        """The features of one edit: for a known misreading its operations and their neighbours, for any other its kind and place."""
+        i, wrong, right = edit
+        if (wrong, right) in _READ:
+            padded = "^" + word + "$"
+            out = []
             for place, kind, what in operations(edit):
                 name = f"{kind}:{what}"
                 out += [name, f"{name}<{padded[place]}", f"{name}>{padded[min(place + 2, len(padded) - 1)]}"]
-        fixed = apply(word, edits)
+            return out
+        kind = "insert" if not wrong else "replace" if right else "delete"
+        where = "first" if i == 0 else "last" if i + len(wrong) >= len(word) else "inner"
+        return ["other", f"other:{kind}", f"other:{where}", f"other:{kind},{where}", f"other:size{min(len(word), 9)}"]
+
+    def whole(self, word: str, fixed: str, n: int, level: int) -> list[str]:
+        """The features of a word and what it is to become, by `n` edits."""
         to = self.lexicon.level(fixed)
         digits = any(c.isdigit() for c in word), any(c.isdigit() for c in fixed)
-        return [*out, f"levels:{level},{to}", f"gain:{max(-3, min(6, to - level))}", f"known:{to > 0}", f"edits:{len(edits)}", f"digits:{digits}", f"size:{min(len(word), 5)},{to > 0}"]
+        return [f"levels:{level},{to}", f"gain:{max(-3, min(6, to - level))}", f"known:{to > 0}", f"edits:{min(n, 4)}", f"digits:{digits}", f"size:{min(len(word), 5)},{to > 0}"]
+
+    def features(self, word: str, edits: tuple[Edit, ...], level: int) -> list[str]:
+        if not edits:
+            return []
+        return [f for e in edits for f in self.places(word, e)] + self.whole(word, apply(word, edits), len(edits), level)
 
     def score(self, features: list[str]) -> float:
         return sum(self.weights.get(f, 0.0) for f in features)
 
+    def worth(self, word: str, edit: Edit) -> float:
+        """The score of one edit; one that is no known misreading never gains, so that a search ends."""
+        s = self.score(self.places(word, edit))
+        return s if edit[1:] in _READ else min(s, LEAST_COST)
+
+    def total(self, word: str, edits: tuple[Edit, ...], level: int) -> float:
+        return sum(self.worth(word, e) for e in edits) + self.score(self.whole(word, apply(word, edits), len(edits), level))
+
+    def lift(self, level: int, size: int) -> float:
+        """The most that the features of whole words can add where a word of a level and size becomes a usual one."""
+        if (level, size) not in self.lifts:
+            w = self.weights.get
+            rise = max(w(f"levels:{level},{to}", 0.0) + w(f"gain:{max(-3, min(6, to - level))}", 0.0) for to in range(USUAL, self.top + 1))
+            most = [max([0.0, *(v for f, v in self.weights.items() if f.startswith(g))]) for g in ("edits:", "digits:")]
+            self.lifts[level, size] = rise + w("known:True", 0.0) + w(f"size:{size},True", 0.0) + sum(most)
+        return self.lifts[level, size]
+
+    def singles(self, word: str) -> list[Edit]:
+        """Edits that are no known misreadings and lead to a usual word at once."""
+        out = []
+        for i in range(len(word) + 1):
+            head, rest, tail = word[:i], word[i:], word[i + 1 :]
+            if head not in self.prefixes:
+                break
+            out += [(i, "", c) for c in self.letters if head + c + rest in self.usual]
+            if rest:
+                out += [(i, rest[0], c) for c in self.letters if c != rest[0] and (rest[0], c) not in _READ and head + c + tail in self.usual]
+                if head + tail in self.usual:
+                    out.append((i, rest[0], ""))
+        return out
+
     def candidates(self, word: str, level: int) -> list[tuple[Edit, ...]]:
+        """What the editor is trained against: single edits, and pairs of known misreadings."""
         places = edits_at(word)
         out: list[tuple[Edit, ...]] = [(e,) for e in places]
-        # further edits at once only where a single one does not lead to a usual word
-        if level <= 3 and not any(self.lexicon.level(apply(word, c)) > 3 for c in out):
-            for n in range(2, MOST_EDITS + 1):
-                if math.comb(len(places), n) > MOST_CANDIDATES:
-                    places = [e for e in places if len(e[1]) > 1 or e[1].isdigit() or e[1] in "cbf"]
-                if math.comb(len(places), n) <= 5 * MOST_CANDIDATES:
-                    out += [c for c in itertools.combinations(places, n) if all(a[0] + len(a[1]) <= b[0] for a, b in itertools.pairwise(c))]
+        if level < USUAL:
+            out += [c for c in itertools.combinations(places, 2) if c[0][0] + len(c[0][1]) <= c[1][0] and apply(word, c) in self.usual]
+            out += [(e,) for e in self.singles(word)]
         return out
 
+    def search(self, word: str, level: int, known: list[Edit]) -> tuple[Edit, ...]:
+        """The best scored set of edits, however many, that leads to a usual word; none if keeping the word scores at least as well.
+
+        Words are built letter by letter along the prefixes of usual words. A branch is left only when even the best features
+        of whole words could not lift it over the best result so far, so the search is exact. A word may have any number of
+        known misreadings, and one other edit.
+        """
+        n, lift = len(word), self.lift(level, min(len(word), 5))
+        ops: list[list[tuple[Edit, float]]] = [[] for _ in range(n + 1)]
+        for e in known:
+            ops[e[0]].append((e, self.worth(word, e)))
+        rest = [0.0] * (n + 2)
+        for i in range(n - 1, -1, -1):
+            rest[i] = rest[i + 1] + max([0.0, *(s for _, s in ops[i])])
+        free = level < USUAL
+        least = level + 3 if level > 1 else 0  # a known word gives way to a far more usual one only
+        costs = [[self.worth(word, (i, wrong, right)) for wrong, right in (("", "\0"), (word[i : i + 1], "\0"), (word[i : i + 1], ""))] for i in range(n + 1)] if free else []
+        top: tuple[Edit, ...] = ()
+        most = 0.0
+        stack: list[tuple[int, str, float, tuple[Edit, ...], bool]] = [(0, "", 0.0, (), free)]
+        while stack:
+            i, made, got, edits, free = stack.pop()
+            if got + rest[i] + lift <= most:
+                continue
+            if i == n and edits and made in self.usual and self.lexicon.level(made) >= least:
+                total = self.total(word, edits, level)
+                if total > most:
+                    top, most = edits, total
+            for e, s in ops[i]:
+                if made + e[2] in self.prefixes:
+                    stack.append((i + len(e[1]), made + e[2], got + s, (*edits, e), free))
+            if free:
+                for k, wrong in enumerate(("", word[i]) if i < n else ("",)):
+                    j, s = i + k, costs[i][k]
+                    if got + s + rest[j] + lift > most:
+                        stack += [(j, made + c, got + s, (*edits, (i, wrong, c)), False) for c in self.letters if made + c in self.prefixes and c != wrong and (wrong, c) not in _READ]
+                if i < n and got + (s := costs[i][2]) + rest[i + 1] + lift > most:
+                    stack.append((i + 1, made, got + s, (*edits, (i, word[i], "")), False))
+            if i < n and made + word[i] in self.prefixes:
+                stack.append((i + 1, made + word[i], got, edits, free))
+        return top
+
     def best(self, word: str) -> tuple[Edit, ...]:
         """The operations to carry out on a lower-case word; none if keeping it scores at least as well."""
         level = self.lexicon.level(word)
-        top, most = (), 0.0
-        for c in self.candidates(word, level):
-            if (s := self.score(self.features(word, c, level))) > most:
+        known = edits_at(word)
+        top = self.search(word, level, known)
+        most = self.total(word, top, level) if top else 0.0
+        # other words than usual ones are reached by the best misreading of each sign that is no letter, or by a single one
+        signs = [max(es, key=lambda e: self.worth(word, e)) for _, g in itertools.groupby((e for e in known if not e[1].isalpha() or e[1] in _LIGATURES), key=lambda e: e[0]) if (es := list(g))]
+        apart = tuple(b for k, b in enumerate(signs) if not k or signs[k - 1][0] + len(signs[k - 1][1]) <= b[0])
+        singles = ((e,) for e in known if len(word) + len(e[2]) - len(e[1]) <= self.longest and self.lexicon.level(apply(word, (e,))))
+        for c in [apart, *singles]:
+            if c and (level < 2 or self.lexicon.level(apply(word, c)) >= level + 3) and (s := self.total(word, c, level)) > most:
                 top, most = c, s
         return top
 
@@ -157,9 +259,11 @@ class Editor:
             return self.kept[word]
         got, at = None, word
         # the lexicon also holds frequent misreadings, so a repaired word may need another look
-        while 1 < len(at) <= LONGEST and (len(at) > 2 or not at.isalpha()) and not _NUMERAL.fullmatch(at) and (edits := self.best(at)) and len(apply(at, edits)) >= len(word) - MOST_EDITS:
-            got = at = apply(at, edits)
-            if self.lexicon.level(at) > 3:
+        # (words of two letters stay: each is a misreading of another)
+        while len(at) > 1 and (len(at) > 2 or not at.isalpha()) and not _NUMERAL.fullmatch(at) and (edits := self.best(at)) and self.lexicon.level(apply(at, edits)) >= self.lexicon.level(at):
+            got, before = apply(at, edits), at
+            at = got
+            if self.lexicon.level(at) >= USUAL or self.lexicon.level(at) == self.lexicon.level(before):
                 break
         if len(self.kept) < 300_000:
             self.kept[word] = got
@@ -168,7 +272,7 @@ class Editor:
     def join_features(self, left: str, right: str, mark: str) -> list[str]:
         whole, parted = self.lexicon.level(left + right), self.lexicon.level(f"{left}-{right}")
         fixed = self.repair(left + right) is not None
-        parts = self.lexicon.level(left) >= 4 and self.lexicon.level(right) >= 4
+        parts = self.lexicon.level(left) >= USUAL and self.lexicon.level(right) >= USUAL
         return ["join", f"join.whole:{whole > 0}", f"join.parted:{parted > 0}", f"join.parts:{parts}", f"join.fixed:{fixed}", f"join.soft:{mark not in '-‑'}", f"join:{whole > 0},{parted > 0},{parts}"]
 
     def joins(self, left: str, right: str, mark: str) -> bool:
@@ -176,6 +280,21 @@ class Editor:
         return self.score(self.join_features(left, right, mark)) > 0
 
 
+def smudge(word: str, rng: random.Random) -> tuple[str, tuple[Edit, ...]]:
+    """A word with an inner letter lost, doubled up or read as any other, and the edit that undoes it."""
+    i = rng.randrange(1, len(word) - 1)
+    c = rng.choice(_ANY)
+    kind = rng.randrange(3)
+    if kind == 0:
+        return word[:i] + word[i + 1 :], ((i, "", word[i]),)
+    if kind == 1:
+        return word[:i] + c + word[i:], ((i, c, ""),)
+    return word[:i] + c + word[i + 1 :], ((i, c, word[i]),) if c != word[i] else ()
+
+
+_ANY = "abcdefghijklmnopqrstuvwxyz"
+
+
 def damage(word: str, rng: random.Random) -> tuple[str, tuple[Edit, ...]]:
     """A word with one or two scan errors, and the edits that undo them."""
     spots = [(i, right, wrong) for right, wrong in MISREADINGS for i in range(len(word) - len(right) + 1) if word.startswith(right, i)]
@@ -193,10 +312,10 @@ def damage(word: str, rng: random.Random) -> tuple[str, tuple[Edit, ...]]:
 
 
 def train(lexicon: Lexicon, seed: int = 42) -> Editor:
-    """An editor trained on the `TRAIN_WORDS` most frequent words: damaged, sound, and sound but passed off as rare."""
+    """An editor trained on the `TRAIN_WORDS` most frequent words: misread, smudged, sound, and sound but passed off as rare."""
     rng = random.Random(seed)
-    words = [w for w, _ in sorted(lexicon.counts.items(), key=lambda x: (-x[1], x[0])) if 3 <= len(w) <= LONGEST and w.isalpha()]
-    sure = [w for w in words if lexicon.level(w) >= 4][:TRAIN_WORDS]
+    words = [w for w, _ in sorted(lexicon.counts.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 2 and w.isalpha()]
+    sure = [w for w in words if lexicon.level(w) >= USUAL][:TRAIN_WORDS]
     editor = Editor(lexicon)
     # a rare word one misreading away from a far more frequent one is no example of a sound word
     heard = {w for w in sure if not any(lexicon.level(apply(w, (e,))) >= lexicon.level(w) + 3 for e in edits_at(w))}
@@ -205,6 +324,10 @@ def train(lexicon: Lexicon, seed: int = 42) -> Editor:
         noisy, undo = damage(w, rng)
         if undo and lexicon.level(noisy) < lexicon.level(w) - 1:
             examples.append((noisy, undo, lexicon.level(noisy)))
+        if len(w) > 4 and rng.random() < SMUDGED:
+            noisy, undo = smudge(w, rng)
+            if undo and undo[0][1:] not in _READ and not lexicon.level(noisy):
+                examples.append((noisy, undo, 0))
         if w in heard:
             examples.append((w, None, lexicon.level(w)))
             if rng.random() < 0.4:
@@ -240,6 +363,7 @@ def train(lexicon: Lexicon, seed: int = 42) -> Editor:
     cases += [(*w.split("-"), "-", False) for w in compounds for _ in range(max(1, len(cases) // (4 * len(compounds))))]
     cases += [(a, b, "-", False) for a, b in zip(rng.sample(sure, len(sure) // 8), rng.sample(sure, len(sure) // 8), strict=True) if a + b not in lexicon.counts]
     editor.kept.clear()
+    editor.lifts.clear()
     for _ in range(EPOCHS):
         rng.shuffle(cases)
         for left, right, mark, one in cases:
@@ -253,6 +377,7 @@ def train(lexicon: Lexicon, seed: int = 42) -> Editor:
                     update(soft, 1.0)
     editor.weights = {f: w - sums[f] / (step + 1) for f, w in editor.weights.items() if abs(w - sums[f] / (step + 1)) > 1e-6}
     editor.kept.clear()
+    editor.lifts.clear()
     return editor
 
 
@@ -272,10 +397,10 @@ def _title(line: str) -> str | None:
     text = line.strip()
     if re.fullmatch(r"(?:[^\W\d_]\W? )+(?: +(?:[^\W\d_]\W? )*)*[^\W\d_]\W?", text + "") and len(re.findall(r"\b\w\b", text)) >= 4:
         text = " ".join(part.replace(" ", "") for part in re.split(r"\s{2,}", text))
-    if not 3 <= len(text) <= 70 or _HEADING.match(text) or not text[0].isalpha() or text[0] in "-*•>\"“'" or re.search(r"[,;!?…”\"]$", text):
+    if len(text) < 3 or _HEADING.match(text) or not text[0].isalpha() or text[0] in "-*•>\"“'" or re.search(r"[,;!?…”\"]$", text):
         return None
     words = re.findall(r"[^\W\d_]+(?:['’.][^\W\d_]*)*", text)
-    if not words or len(words) > 10:
+    if not words:
         return None
     if text.isupper() or (text[-1] != "." and all(w[0].isupper() or w.lower() in _SMALL for w in words) and words[0][0].isupper()):
         return " ".join(words)
@@ -291,8 +416,6 @@ def furniture(lines: list[str], hint: str, lexicon: Lexicon) -> dict[int, set[st
     titles: dict[int, str] = {}
     for k in filled[1:-1]:
         line = lines[k].strip()
-        if len(line) > 90:
-            continue
         if (m := _PAGE.fullmatch(line)) and (m[1].isdigit() or _ROMAN.fullmatch(m[1])):
             seen[k] = {"page_no"}
             continue
@@ -374,10 +497,12 @@ def restore(story: str, hint: str, editor: Editor, rewrite: bool = True) -> Repa
 
             body = _DIVIDED.sub(close, body)
     whole = body.rstrip()
-    words = _WORD.findall(whole.lower())
-    if words and whole[-1].isalnum():
-        words.pop()  # perhaps broken off
-    wrong = {w: fixed for w in set(words) if (fixed := editor.repair(w))}
+    tokens = _TOKEN.findall(whole.lower())
+    if tokens and whole[-1].isalnum() and _WORD.findall(tokens[-1])[-1] in editor.prefixes:
+        tokens.pop()  # perhaps broken off
+    # the parts of a known compound are sound, though they may never stand alone
+    words = {w for t in set(tokens) for w in ([t] if "-" not in t else () if editor.lexicon.level(t) > 1 else _WORD.findall(t))}
+    wrong = {w: fixed for w in words if (fixed := editor.repair(w))}
     if wrong:
         found.add("misread")
     if not rewrite:

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from plotmill.llm.scans import Editor, Lexicon, apply, count_words, damage, edits_at, furniture, operations, repair_scans, restore, train, unwrap
+from plotmill.llm.scans import Editor, Lexicon, apply, count_words, damage, edits_at, furniture, operations, repair_scans, restore, smudge, train, unwrap
 
 WORDS = "the harbour was quiet and morning lantern shovel captain gardener counting house every window tired brittle between orchard letter stood beside against nobody remembered".split()
 
@@ -78,3 +78,42 @@ def test_table(spark):
     assert repair_scans(df.limit(0), "record_id", "body").count() == 0
     lexicon = count_words(df, "body")
     assert lexicon.counts["harbour"] > 3000 and isinstance(Editor(lexicon).repair("harbour"), type(None))
+
+
+@pytest.mark.parametrize(("word", "fixed"), [("orchqrd", "orchard"), ("lantrn", "lantern"), ("captaiin", "captain"), ("gardxner", "gardener"), ("0rch4rd", "orchard"), ("rcmcmbcrcd", "remembered"), ("ostreskin", None), ("zelume", None)])
+def test_errors_no_table_holds(editor, word, fixed):
+    assert editor.repair(word) == fixed
+
+
+def test_held_out_noise_of_another_kind(editor):
+    rng = random.Random(9)
+    right = wrong = total = 0
+    for w in [w for w in WORDS if len(w) > 5] * 20:
+        noisy, undo = smudge(w, rng)
+        if undo and noisy not in WORDS:
+            total += 1
+            got = editor.repair(noisy)
+            right += got == w
+            wrong += got not in (None, w)
+    print("recall", right / total, "precision", right / (right + wrong))
+    assert right / total >= 0.9 and right / (right + wrong) >= 0.9
+
+
+def test_any_number_of_misreadings_in_words_of_any_length():
+    long = "counterrevolutionaryreconsiderations"
+    counts = {w: 4000 for w in WORDS} | {long: 4000}
+    own = train(Lexicon(counts, sum(counts.values())))
+    assert own.repair(long.replace("o", "0").replace("e", "c")) == long
+    assert own.repair("x" * 200_000) is None
+
+
+def test_the_last_word_is_read_unless_it_may_be_broken_off(editor):
+    assert restore("Nobody remembered the 0rchard", "", editor).text.endswith("orchard")
+    assert restore("Nobody remembered the orch", "", editor).noise == []
+    assert restore("Nobody remembered the lan", "", editor).noise == []
+
+
+def test_running_heads_of_any_length(editor):
+    head = "THE TIRED LANTERN AND EVERY WINDOW OF THE QUIET HARBOUR THAT NOBODY AT ALL REMEMBERED BEFORE THE MORNING"
+    page = f"The captain stood beside the\n\n{head}\n\norchard and the gardener remembered every window.\n\nNobody remembered."
+    assert restore(page, "", editor).noise == ["header"]
