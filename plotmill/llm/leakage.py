@@ -17,10 +17,9 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
 
 
-def _worded(df: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """`(id, words)` of texts that a window fits into (the length bound)."""
-    rows = df.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), tokens(F.col(f"`{text}`")).alias("words"))
-    return rows.filter(F.size("words") >= window)
+def _worded(df: DataFrame, key: str, text: str) -> DataFrame:
+    """`(id, words)` of texts that are not null; not filtered by length, for which the words would be told twice."""
+    return df.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), tokens(F.col(f"`{text}`")).alias("words"))
 
 
 def _hashes(words: Column) -> Column:
@@ -31,8 +30,9 @@ def _hashes(words: Column) -> Column:
 
 def _shingled(worded: DataFrame) -> DataFrame:
     """`(id, n, i, h)`: a row for each shingle with its place from 1; only the number of words goes beside it."""
-    rows = worded.select("id", F.size("words").alias("n"), _hashes(F.col("words")).alias("hs"))
-    return rows.select("id", "n", F.posexplode("hs").alias("i0", "h")).select("id", "n", (F.col("i0") + 1).alias("i"), "h")
+    # exploded as an expression: of a column the optimiser would infer a filter that tells the words anew for each shingle
+    rows = worded.withColumn("n", F.size("words")).select("id", "n", F.posexplode(_hashes(F.col("words"))).alias("i0", "h"))
+    return rows.select("id", "n", (F.col("i0") + 1).alias("i"), "h")
 
 
 def prefixes(items: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -59,7 +59,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id",
     A set join with prefix filtering, in passes over the documents. The first counts how often each shingle of an item occurs in
     them. A window of an item is the set of its shingles, and containment needs every one, so its necessary prefix is the
     single shingle that is rarest: the second pass joins documents with these prefixes only. A match fixes where the window
-    would have to lie (the positional bound), and the last pass fetches the words of documents with a match, each once,
+    would have to lie within the document (the length and positional bounds), and the last pass fetches the words of documents with a match, each once,
     and compares the windows word by word. `longest` is the longest common run through a match. Null, empty and shorter texts
     leak nothing, rows with a null key are left out; repeated rows with one key count once; columns other than those named are
     not read.
@@ -67,8 +67,8 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id",
     if window < SHINGLE:
         raise ValueError("a window must hold at least one shingle")
     # texts of one key are items of their own until the end
-    asked = cut_lineage(_worded(items, item_key, text, window).distinct().withColumn("id", F.struct("id", F.xxhash64("words").alias("v"))))
-    worded = _worded(docs, doc_key, text, window)
+    asked = cut_lineage(_worded(items, item_key, text).filter(F.size("words") >= window).distinct().withColumn("id", F.struct("id", F.xxhash64("words").alias("v"))))
+    worded = _worded(docs, doc_key, text)
     needed = cut_lineage(prefixes(asked, worded, window))
     begin = F.col("i") - F.col("ahead")
     places = (
