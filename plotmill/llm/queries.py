@@ -89,6 +89,16 @@ def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")).documents
 
 
+def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the mixture keeps the totals that inclusion probabilities ask for, up to what landing two documents may change."""
+    got = mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    largest = got.documents.groupBy("source").agg(F.max("tokens").alias("largest"))
+    rate = F.when(F.col("tokens") > 0, F.least(F.col("wanted") / F.col("tokens"), F.col("max_repeats").cast("double"))).otherwise(0.0)
+    tokens = F.abs(F.col("mixed_tokens") - rate * F.col("tokens")) <= 2 * F.coalesce("largest", F.lit(0)) + 1e-6 * F.col("tokens")
+    documents = F.abs(F.col("mixed_documents") - rate * F.col("documents")) <= 2
+    return got.report.join(largest, "source", "left").select("source", tokens.alias("tokens_kept"), documents.alias("documents_kept"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_shares(spark, sf_dir).filter("short").select("source")
 
@@ -121,6 +131,7 @@ QUERIES = {
     "p8_found": p8_found,
     "p9_shares": p9_shares,
     "p9_mixture": p9_mixture,
+    "p9_kept": p9_kept,
     "p9_found": p9_found,
     "p10_marks": p10_marks,
     "p10_corpus": p10_corpus,
