@@ -18,6 +18,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from plotmill.session import spread
 
-#: Size of the hashed word-count table that is sent to the workers (256 kB, whatever the input).
-WORD_BINS = 1 << 15
+#: Size of the hashed word-count table that is sent to the workers (8 MB, whatever the input).
+WORD_BINS = 1 << 20
 ESCAPE_BITS, CHAR_BITS, END_BITS, DIALECT_BITS = 14.0, 5.0, 1.0, 3.0
 
 # Whole fields that stand for "nothing" (lower case).
@@ -100,8 +101,8 @@ _MARKS = str.maketrans({"(": " ", ")": " ", '"': " ", "“": " ", "”": " "})
 class Coder:
     """Code lengths of values under the counts of all words of the collection."""
 
-    def __init__(self, bins: dict[int, int]):
-        self.bins, self.total = bins, sum(bins.values()) + 1
+    def __init__(self, bins: np.ndarray):
+        self.bins, self.total = bins, int(bins.sum()) + 1
         self.kept: dict[str, float] = {}
 
     def word(self, word: str) -> float:
@@ -110,7 +111,7 @@ class Coder:
             return 0.0
         if bits is None:
             seen = not _UNCOUNTED.search(word)  # such words are in no count, so no other word's bin may stand for them
-            n = self.bins.get(xxhash.xxh64_intdigest(word.encode(), 42) % WORD_BINS, 0) if seen else 0
+            n = int(self.bins[xxhash.xxh64_intdigest(word.encode(), 42) % WORD_BINS]) if seen else 0
             bits = math.log2(self.total / n) if n else ESCAPE_BITS + CHAR_BITS * len(word)
             if len(self.kept) < 200_000:
                 self.kept[word] = bits
@@ -155,7 +156,7 @@ def _fields(df: DataFrame, key: str, map_column: str, fields: list[str]) -> Data
     return df.select(F.col(f"`{key}`").alias("key"), F.explode(pairs).alias("p")).select("key", "p.field", "p.raw")
 
 
-def word_bins(values: DataFrame, column: str) -> dict[int, int]:
+def word_bins(values: DataFrame, column: str) -> np.ndarray:
     """Counts of the words of `column` over all rows, summed by hash; at most `WORD_BINS` rows reach the driver."""
     words = F.regexp_extract_all(F.col(column), F.lit(r"(?U)[^\s,;/|·&+\"“”()\[\]•*‣◦▪，、；]+"), F.lit(0))
     rows = (
@@ -165,7 +166,10 @@ def word_bins(values: DataFrame, column: str) -> dict[int, int]:
         .count()
         .collect()
     )
-    return {r["bin"]: r["count"] for r in rows}
+    out = np.zeros(WORD_BINS, np.int64)
+    for r in rows:
+        out[r["bin"]] = r["count"]
+    return out
 
 
 def split_packed(df: DataFrame, fields: list[str], key: str = "record_id", map_column: str = "prompt") -> DataFrame:
@@ -176,11 +180,11 @@ def split_packed(df: DataFrame, fields: list[str], key: str = "record_id", map_c
     count; other columns of `df`, whatever their names, are not read. An empty table gives an empty result.
     """
     long = _fields(df, key, map_column, fields).filter(F.col("raw").isNotNull())
-    bins = word_bins(long, "raw")
+    bins = df.sparkSession.sparkContext.broadcast(word_bins(long, "raw"))
     key_type = df.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(bins)
+        coder = Coder(bins.value)
         for batch in batches:
             at, pos, n, item = [], [], [], []
             for i, raw in enumerate(batch.column(2).to_pylist()):
