@@ -9,23 +9,32 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from plotmill import sinks
-from plotmill.constants import VALIDATION_SHARE
-from plotmill.operators import chunking, dataset, fewshot, generation, grid, names, phrases, records, rows, screenplay
+from plotmill.constants import CONTINUATION_RATE, DROPPABLE_TAGS, KEY_ORDER, TAG_DROP_RATE, VALIDATION_SHARE
+from plotmill.operators import chunking, dataset, fewshot, generation, grid, names, phrases, records, rows, screenplay, tags
 from plotmill.session import cut_lineage, get_spark
 from plotmill.sources import files
-from plotmill.sources.settings import extend_story_settings, json_file, replacement_lists, template
+from plotmill.sources.settings import Settings, extend_story_settings, json_file, replacement_lists, template
 
 
 def chunk_books(spark: SparkSession, a: argparse.Namespace) -> None:
-    sinks.write_chunks(chunking.book_chunks(files.books(spark, a.folder), "book", "raw", a.max_tokens, a.exclude), a.out, "book")
+    chunks = chunking.book_chunks(files.books(spark, a.folder), "book", "raw", a.max_tokens, a.exclude, a.pieces)
+    if a.files:
+        sinks.write_chunk_files(chunks, a.out, "book")
+    else:
+        sinks.write_chunks(chunks, a.out, "book")
 
 
 def chunk_scripts(spark: SparkSession, a: argparse.Namespace) -> None:
     found = files.scripts(spark, a.folder)
-    sinks.write_chunks(screenplay.screenplay_chunks(found, "script", "text", a.max_tokens, json_file(a.locations) if a.locations else None), a.out, "is_roleplay")
-    places, people = screenplay.script_constants(found, "text")
-    sinks.write_mapping(places.withColumn("as", F.col("location")), "location", "as", a.out + "_locations.json")
-    sinks.write_mapping(people.withColumn("as", F.col("name")), "name", "as", a.out + "_names.json")
+    locations, people = (json_file(f) if f else {} for f in (a.locations, a.names))
+    chunks = screenplay.screenplay_chunks(found, "script", "text", a.max_tokens, locations)
+    if a.files:
+        sinks.write_chunk_files(chunks, a.out, "script", "is_roleplay")
+    else:
+        sinks.write_chunks(chunks, a.out, "is_roleplay")
+    met = screenplay.script_constants(found, "text")
+    for column, known, name in zip(("location", "name"), (locations, people), ("_locations.json", "_names.json"), strict=True):
+        sinks.write_mapping(screenplay.merged_constants(met[column == "name"], column, known), column, "shown", a.out.rstrip("/") + name)
 
 
 def generate(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -34,12 +43,25 @@ def generate(spark: SparkSession, a: argparse.Namespace) -> None:
     chunks = files.with_record(files.tree(spark, a.folder))
     if a.done:
         chunks = files.unprocessed(chunks, files.tree(spark, a.done, endings=(".json",)))
-    answers = cut_lineage(generation.ask_for_chunks(chunks, ["story", "chunk"], text, generation.client(a.back_end), params, a.seed, a.attempts, a.blacklist))
+    settings = _settings(a)
+    rate = settings.get("prompt_gen.continuation_likelyhood", CONTINUATION_RATE)
+    model = generation.client(a.back_end, settings.get("completion.url", None), settings.get("completion.preset_name", None))
+    answers = cut_lineage(generation.ask_for_chunks(chunks, ["story", "chunk"], text, model, params, a.seed, a.attempts, a.blacklist, rate))
+    if a.answers:
+        sinks.write_answers(answers, a.answers)
     made = generation.chunk_records(answers, params)
-    sinks.write_records(made.filter("reason IS NULL").select("story", files.output_name(F.col("chunk")).alias("chunk"), records.ordered(F.col("prompt")).alias("prompt")), a.out)
+    good = made.filter("reason IS NULL").select("story", files.output_name(F.col("chunk")).alias("chunk"), records.ordered(F.col("prompt"), settings.get("prompt_format.json_key_order", KEY_ORDER)).alias("prompt"))
+    sinks.write_records(good, a.out)
+    if a.extras:
+        sinks.write_extras(good, a.extras)
     sinks.write_rejects(made.filter("reason IS NOT NULL OR size(junk) > 0"), a.out.rstrip("/") + "_rejects")
 
 
+def _settings(a: argparse.Namespace) -> Settings:
+    """The layers of a job: `--settings` over `--defaults`; without either every setting has its default."""
+    return Settings.load(a.defaults, a.settings) if a.defaults else Settings({}, Settings.load(a.settings).default if a.settings else {})
+
+
 def fewshot_without(spark: SparkSession, text: str, keys: list[str]) -> str:
     """A template without some keys."""
     return spark.range(1).select(fewshot.edit(F.lit(text), keys).alias("t")).first()["t"] if keys else text
@@ -61,15 +83,26 @@ def randomize(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def finalize(spark: SparkSession, a: argparse.Namespace) -> None:
+    settings = _settings(a)
     found = files.with_record(files.tree(spark, *a.folders, endings=(".json",))).filter("prompt IS NOT NULL")
-    made = rows.dataset_rows(found, ["root", "story", "chunk"], seed=a.seed, prose=not a.plain)
+    key = ["root", "story", "chunk"]
+    if settings.get("hacks.redistribute_authors", False):
+        named = found.withColumn("_key", F.concat_ws("/", *key))
+        chosen = tags.narrow_authors(named, tags.popularity(named), "_key", seed=a.seed)
+        drawn = F.when(F.col("author").isNotNull(), F.create_map(F.lit("author"), F.col("author")))
+        found = named.join(chosen, "_key", "left").withColumn("prompt", records.overlay(F.col("prompt"), drawn)).drop("_key", "author")
+    if settings.get("hacks.swap_tag_values", False):
+        found = found.withColumn("prompt", tags.alias_record(F.col("prompt")))
+    prose = settings.get("hacks.use_prose_styles", True) and not a.plain
+    made = rows.dataset_rows(found, key, seed=a.seed, prose=prose, rate=settings.get("prompt_format.tag_drop_rate", TAG_DROP_RATE), droppable=settings.get("prompt_format.droppable_tags", DROPPABLE_TAGS))
     made = cut_lineage(dataset.token_range(made, a.min_tokens, a.max_tokens))
+    share = settings.get("prompt_format.validation_set_size", VALIDATION_SHARE) if a.validation is None else a.validation
     roots = [os.path.basename(f.rstrip("/")) for f in a.folders]
     os.makedirs(a.out, exist_ok=True)
     for subset in dataset.subsets(roots) if a.all_combinations else [roots]:
         name = dataset.subset_name(subset, a.max_tokens, a.min_tokens)
-        part = made.filter(F.col("root").isin(subset)).withColumn("_key", F.concat_ws("/", "root", "story", "chunk"))
-        sinks.write_dataset(dataset.exact_split(part, "_key", a.seed, a.validation), a.out, name)
+        part = made.filter(F.col("root").isin(subset)).withColumn("_key", F.concat_ws("/", *key))
+        sinks.write_dataset(dataset.exact_split(part, "_key", a.seed, share), a.out, name)
         sinks.write_metrics(dataset.tag_metrics(part), f"{a.out}/{name}_info.json")
 
 
@@ -80,7 +113,8 @@ def examples(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def inject(spark: SparkSession, a: argparse.Namespace) -> None:
     found = files.with_record(files.tree(spark, a.folder, endings=(".json",))).filter("prompt IS NOT NULL")
-    stories = [r["story"] for r in found.select("story").distinct().collect()]  # the settings file holds them all
+    known = spark.createDataFrame([(s,) for s in json_file(a.settings)], "story string")
+    stories = [r["story"] for r in files.new_stories(found, known).collect()]  # those the settings file is to be extended by
     if new := extend_story_settings(a.settings, stories, a.keys):
         raise SystemExit(f"fill in {a.settings} for: {', '.join(sorted(new))}")
     chosen = json_file(a.settings)
@@ -97,6 +131,8 @@ def merge(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def test_template(spark: SparkSession, a: argparse.Namespace) -> None:
     cells = grid.template_grid(spark, template(a.template)[0], replacement_lists(a.template), a.trials)
+    if (done := sinks.tested(spark, a.out)) is not None:
+        cells = cells.join(cut_lineage(done), "out_file", "left_anti")
     answers = generation.ask(cells, ["out_file", "prompt"], "prompt", generation.client(a.back_end), 1, ["### System:", "### User:", "### Assistant:"], 0.8, a.response_length)
     sinks.write_results(answers.withColumn("result", F.coalesce("answer", F.lit(""))), a.out)
 
@@ -121,14 +157,16 @@ def parser() -> argparse.ArgumentParser:
     tokens, seed = (("--max-tokens",), {"type": int, "required": True}), (("--seed",), {"type": int, "default": 42})
     back_end = (("--back-end",), {"default": "stub", "choices": sorted(generation.BACK_ENDS)})
     keys = (("--keys",), {"nargs": "+", "required": True})
-    job(chunk_books, folder, out, tokens, (("--exclude",), {"action": "store_true"}))
-    job(chunk_scripts, folder, out, tokens, (("--locations",), {}))
-    job(generate, folder, out, seed, back_end, (("--template",), {"required": True}), (("--done",), {}), (("--attempts",), {"type": int, "default": 3}), (("--blacklist",), {"nargs": "*", "default": []}))
+    as_files = (("--files",), {"action": "store_true"})
+    settings = (("--settings",), {}), (("--defaults",), {})
+    job(chunk_books, folder, out, tokens, (("--exclude",), {"action": "store_true"}), (("--pieces",), {"help": "a SentencePiece model whose pieces are counted"}), as_files)
+    job(chunk_scripts, folder, out, tokens, (("--locations",), {}), (("--names",), {}), as_files)
+    job(generate, folder, out, seed, back_end, *settings, (("--answers",), {}), (("--extras",), {}), (("--template",), {"required": True}), (("--done",), {}), (("--attempts",), {"type": int, "default": 3}), (("--blacklist",), {"nargs": "*", "default": []}))
     job(count_phrases, folder, out, (("--min-repeats",), {"type": int, "default": phrases.LEAST_IN_STORY}), (("--min-stories",), {"type": int, "default": phrases.LEAST_STORIES}))
     job(randomize, folder, out, seed, (("--male",), {}), (("--female",), {}))
     job(
         finalize, (("folders",), {"nargs": "+"}), (("--out",), {"required": True}), seed, (("--max-tokens",), {"type": int}), (("--min-tokens",), {"type": int}),
-        (("--all-combinations",), {"action": "store_true"}), (("--plain",), {"action": "store_true"}), (("--validation",), {"type": float, "default": VALIDATION_SHARE}),
+        (("--all-combinations",), {"action": "store_true"}), (("--plain",), {"action": "store_true"}), (("--validation",), {"type": float}), *settings,
     )
     job(examples, folder, out)
     job(inject, folder, out, keys, (("--settings",), {"required": True}))

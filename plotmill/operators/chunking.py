@@ -108,8 +108,52 @@ def pack(parts: Column, most: int) -> Column:
     return F.aggregate(parts, state, step, lambda s: joined(s["first"]))
 
 
-def book_chunks(books: DataFrame, key: str, raw: str, most: int, exclude: bool = False) -> DataFrame:
-    """`(<key>, chunk_id, text)`, chunks numbered from 1; over-long paragraphs are cut, or left out with `exclude`."""
+def pack_pieces(parts: Column, model: str, most: int, exclude: bool = False) -> Column:
+    """F2, F3 with the tokens of a SentencePiece model: chunks of fewer than `most` pieces, over-long paragraphs cut before a word start, or left out.
+
+    `model` is a file that every executor can read.
+    """
+
+    @F.pandas_udf("array<string>")
+    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from sentencepiece import SentencePieceProcessor
+
+        own = SentencePieceProcessor(model_file=model)
+        for lists in batches:
+            yield pd.Series([None if ps is None else _packed_pieces(list(ps), own, most, exclude) for ps in lists])
+
+    return packed(parts)
+
+
+def _packed_pieces(parts: list[str], model, most: int, exclude: bool) -> list[str]:  # noqa: ANN001
+    capped: list[tuple[str, int]] = []
+    for part in parts:
+        # each piece with what it stands for in the text, so that nothing of it is lost, whatever the model normalises
+        ids = [(p.piece, p.surface) for p in model.encode(part, return_type="proto").pieces]
+        if len(ids) > most - 1 and exclude:
+            continue
+        while len(ids) > most - 1:
+            end = next((k for k in range(most - 1, 0, -1) if ids[k - 1][0].endswith(".") or ids[k][0].startswith("▁")), most - 1)
+            capped.append(("".join(t for _, t in ids[:end]).strip(), end))
+            ids = ids[end:]
+        capped.append(("".join(t for _, t in ids).strip(), len(ids)))
+    out: list[list[str]] = []
+    total = 0
+    for text, size in capped:
+        if text and out and total + size + 1 < most:
+            out[-1].append(text)
+            total += size + 1
+        elif text:
+            total = size + (0 if out else 1)
+            out.append([text])
+    return ["\n".join(c) for c in out]
+
+
+def book_chunks(books: DataFrame, key: str, raw: str, most: int, exclude: bool = False, model: str | None = None) -> DataFrame:
+    """`(<key>, chunk_id, text)`, chunks numbered from 1; over-long paragraphs are cut, or left out with `exclude`. With `model` tokens are those of a SentencePiece model."""
+    if model:
+        held = spread(books.select(key, raw)).select(F.col(f"`{key}`"), pack_pieces(paragraphs(F.col(f"`{raw}`")), model, most, exclude).alias("chunks"))
+        return held.select(key, F.posexplode("chunks").alias("i", "text")).select(key, (F.col("i") + 1).cast("bigint").alias("chunk_id"), "text")
     parts = spread(books.select(key, raw)).select(F.col(f"`{key}`"), paragraphs(F.col(f"`{raw}`")).alias("parts"))
     capped = parts.select(key, (drop_long if exclude else split_long)(F.col("parts"), most - 1).alias("parts"))
     return capped.select(key, F.posexplode(pack(F.col("parts"), most)).alias("i", "text")).select(key, (F.col("i") + 1).cast("bigint").alias("chunk_id"), "text")

@@ -7,10 +7,24 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plotmill.functions.text import lines, strip
+from plotmill.functions.text import WS, let, lines, strip
 from plotmill.operators.records import without_keys
 
-_ENTRY = "struct<key:string,value:string>"
+
+def _entries(example: Column) -> Column:
+    """The entries of one example, in order, repeated keys too."""
+
+    def cut(rows: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(rows)), lambda i: F.element_at(rows, i).startswith(">") & F.contains(F.element_at(rows, i), F.lit(":")))
+        return let(starts, lambda at: F.transform(at, lambda i, k: entry(F.array_join(F.slice(rows, i, F.coalesce(F.get(at, k + 1), F.size(rows) + 1) - i), "\n"))))
+
+    def entry(part: Column) -> Column:
+        return F.struct(
+            strip(F.substring_index(F.substring(part, F.lit(2), F.length(part)), ":", 1)).alias("key"),
+            F.regexp_replace(F.regexp_replace(part, r"\A>[^:]*:", ""), r"\A ", "").alias("value"),
+        )
+
+    return let(F.split(example, "\n", -1), cut)
 
 
 def parse(text: Column) -> Column:
@@ -19,26 +33,10 @@ def parse(text: Column) -> Column:
     A blank line ends an example; lines without a key go on with the value before; those before any key are dropped; a
     repeated key overwrites. Null for null texts, empty for texts without a key.
     """
-    start = F.struct(F.array().cast(f"array<{_ENTRY}>").alias("cur"), F.array().cast(f"array<array<{_ENTRY}>>").alias("out"))
-
-    def step(s: Column, line: Column) -> Column:
-        cur, out = s["cur"], s["out"]
-        is_blank = strip(line) == ""
-        is_key = line.startswith(">") & F.contains(line, F.lit(":"))
-        entry = F.struct(
-            strip(F.substring_index(F.substring(line, F.lit(2), F.length(line)), ":", 1)).alias("key"),
-            F.regexp_replace(F.regexp_replace(line, r"^>[^:]*:", ""), "^ ", "").alias("value"),
-        )
-        last = F.element_at(cur, -1)
-        longer = F.concat(F.slice(cur, F.lit(1), F.size(cur) - 1), F.array(F.struct(last["key"].alias("key"), F.concat(last["value"], F.lit("\n"), line).alias("value"))))
-        grown = F.when(is_key, F.concat(cur, F.array(entry))).when(F.size(cur) > 0, longer).otherwise(cur)
-        ended = is_blank & (F.size(cur) > 0)
-        return F.struct(
-            F.when(is_blank, F.array().cast(f"array<{_ENTRY}>")).otherwise(grown).alias("cur"),
-            F.when(ended, F.concat(out, F.array(cur))).otherwise(out).alias("out"),
-        )
-
-    examples = F.aggregate(lines(text), start, step, lambda s: F.when(F.size(s["cur"]) > 0, F.concat(s["out"], F.array(s["cur"]))).otherwise(s["out"]))
+    body = F.array_join(lines(text), "\n")
+    outer = F.regexp_replace(F.regexp_replace(body, rf"\A{WS}*\n", ""), rf"\n{WS}*\z", "")
+    # examples lie between blank lines; each is cut at the lines that hold a key, so that every line is copied once
+    examples = F.filter(F.transform(F.split(outer, rf"\n{WS}*\n", -1), _entries), lambda es: F.size(es) > 0)
 
     def as_map(entries: Column) -> Column:
         keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import urllib.request
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plotmill.constants import IDEAL_TOKENS
+from plotmill.constants import CONTINUATION_RATE, IDEAL_TOKENS
 from plotmill.functions.text import strip, token_count
 from plotmill.operators import context
 from plotmill.operators.fewshot import parse, render
@@ -36,19 +36,48 @@ class StubClient:
         return self.reply(prompt) if callable(self.reply) else self.reply
 
 
+_TOKEN = re.compile(r"[^\W\d_]+|\d|[^\w\s]|_")
+
+
+def events(lines: Iterable[bytes]) -> Iterator[dict]:
+    """The JSON payloads of a stream of server-sent events; a plain JSON answer is one payload."""
+    data: list[str] = []
+    plain: list[str] = []
+    for raw in [*lines, b""]:
+        line = raw.decode("utf-8").rstrip("\r\n")
+        if line.startswith("data:"):
+            data.append(line[5:].removeprefix(" "))
+        elif not line and data:
+            body, data = "\n".join(data), []
+            if body != "[DONE]":
+                yield json.loads(body)
+        elif line and not line.startswith((":", "event:", "id:", "retry:")):
+            plain.append(line)
+    if plain:
+        yield json.loads("\n".join(plain))
+
+
 @dataclass
 class CompletionClient:
-    """A completion server that takes a JSON request and answers `choices[0].text`; certificates are checked (Q-25)."""
+    """A completion server that takes a JSON request and streams `choices[0].text` as server-sent events; certificates are checked (Q-25).
+
+    With a `preset` the server's own sampler settings hold instead of `extra`. Requests that leave no room for the answer are
+    an error here; `within_window` keeps them away.
+    """
 
     url: str = "http://127.0.0.1:5000/v1/completions"
     window: int = 8192
+    preset: str | None = None
     extra: Mapping[str, object] = field(default_factory=lambda: {"min_p": 0.05, "top_p": 0.98, "repetition_penalty": 1.05, "repetition_penalty_range": 1024})
 
     def complete(self, prompt: str, stop: Sequence[str], temperature: float, most: int) -> str:
-        body = {"prompt": prompt, "temperature": temperature, "max_tokens": most, "truncation_length": self.window - most, "stop": list(stop), "stream": False, **self.extra}
+        if (size := len(_TOKEN.findall(prompt))) + most > self.window:
+            raise ValueError(f"a prompt of {size} tokens and an answer of {most} are longer than the model's window of {self.window}")
+        sampler = {"preset": self.preset} if self.preset and self.preset.lower() != "none" else self.extra
+        body = {"prompt": prompt, "temperature": temperature, "max_tokens": most, "truncation_length": self.window - most, "stop": list(stop), "ban_eos_token": True, "stream": True, **sampler}
         request = urllib.request.Request(self.url, json.dumps(body).encode(), {"Content-Type": "application/json"})
         with urllib.request.urlopen(request, timeout=600) as answer:
-            return json.load(answer)["choices"][0]["text"]
+            return "".join(event["choices"][0]["text"] for event in events(answer))
 
 
 @dataclass
@@ -74,10 +103,12 @@ class ContentClient:
 BACK_ENDS: dict[str, Callable[[], Client]] = {"stub": StubClient, "completion": CompletionClient, "content": ContentClient}
 
 
-def client(name: str) -> Client:
-    """L1: a back end by name."""
+def client(name: str, url: str | None = None, preset: str | None = None) -> Client:
+    """L1: a back end by name; `url` and `preset` are for the completion server."""
     if name not in BACK_ENDS:
         raise ValueError(f"no back end {name!r}; there are {', '.join(sorted(BACK_ENDS))}")
+    if name == "completion":
+        return CompletionClient(**{k: v for k, v in (("url", url), ("preset", preset)) if v})
     return BACK_ENDS[name]()
 
 
@@ -198,7 +229,7 @@ def ask(requests: DataFrame, keys: list[str], request: str, answerer: Client, at
     return requests.select(*dict.fromkeys([*keys, request])).mapInArrow(send, f"{fields}, answer string, attempts bigint, junk array<string>")
 
 
-def ask_for_chunks(chunks: DataFrame, keys: list[str], text: str, answerer: Client, params: Mapping | None = None, seed: int = 42, attempts: int = 3, blacklist: Sequence[str] = ()) -> DataFrame:
+def ask_for_chunks(chunks: DataFrame, keys: list[str], text: str, answerer: Client, params: Mapping | None = None, seed: int = 42, attempts: int = 3, blacklist: Sequence[str] = (), rate: float = CONTINUATION_RATE) -> DataFrame:
     """X2, F7, X-s9, L2, L5: chunks `(<keys>, raw, prompt)` put into the template `text` and asked; `prompt` is the record a chunk holds, null for plain text.
 
     A record with the key `story` is asked again with its own story and context and is never split; plain text, and an empty
@@ -209,7 +240,7 @@ def ask_for_chunks(chunks: DataFrame, keys: list[str], text: str, answerer: Clie
     most, holds = params.get("response_length", 600), F.coalesce(F.size("prompt") > 0, F.lit(False))
     redone = holds & F.coalesce(F.map_contains_key("prompt", F.lit("story")), F.lit(False))
     known = chunks.select(*keys, "raw", F.when(holds, F.col("prompt")).otherwise(F.create_map().cast(STRING_MAP)).alias("old"), holds.alias("holds"), redone.alias("redone"))
-    drawn = known.withColumn("split", context.continues(seed, F.concat_ws("/", *keys), has_story=F.col("holds")))
+    drawn = known.withColumn("split", context.continues(seed, F.concat_ws("/", *keys), has_story=F.col("holds"), rate=rate))
     halves = drawn.withColumn("s", F.when(F.col("split"), context.split_context(F.col("raw"))))
     before = F.when(F.col("split"), F.col("s.context")).otherwise(F.coalesce(F.when(F.col("redone"), F.col("old")["context"]), F.lit("N/A")))
     told = F.when(F.col("split"), F.col("s.story")).when(F.col("redone"), F.col("old")["story"]).when(~F.col("holds"), F.col("raw"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,21 +76,23 @@ def token_estimate(*parts: Column) -> Column:
     return token_count(F.concat_ws("", *parts)) + FORMAT_TOKENS
 
 
-def dataset_rows(records: DataFrame, keys: list[str], record: str = "prompt", seed: int = 42, rate: float = TAG_DROP_RATE, prose: bool = True) -> DataFrame:
-    """J6, row part: `(<keys>, system, context, instruction, output, length, tokens, tags)`; `tags` is what remained of the record.
+def dataset_rows(records: DataFrame, keys: list[str], record: str = "prompt", seed: int = 42, rate: float = TAG_DROP_RATE, prose: bool = True, keep: Sequence[str] = (), droppable: Sequence[str] = DROPPABLE_TAGS) -> DataFrame:
+    """J6, row part: `(<keys>, <keep>, system, context, instruction, output, length, tokens, tags)`; `tags` is what remained of the record.
 
-    Null records and absent entries count as empty texts (Q-13). `keys` name the row and seed its draws.
+    Null records and absent entries count as empty texts (Q-13). `keys` name the row and seed its draws, columns `keep` are
+    handed through.
     """
     place = [F.col(f"`{k}`").cast("string") for k in keys]
-    kept = drop_tags(without_nulls(straight_quotes(only_keys(F.col(f"`{record}`")))), seed, *place, rate=rate)
-    base = spread(records.select(*keys, record)).select(*keys, F.coalesce(kept, F.create_map().cast("map<string,string>")).alias("tags"))
+    kept = drop_tags(without_nulls(straight_quotes(only_keys(F.col(f"`{record}`")))), seed, *place, rate=rate, tags=list(droppable))
+    names = [*keys, *keep]
+    base = spread(records.select(*dict.fromkeys([*names, record]))).select(*names, F.coalesce(kept, F.create_map().cast("map<string,string>")).alias("tags"))
     tags = F.col("tags")
     base = base.select(
-        *keys, "tags", (prose_style(tags) if prose else plain_style(tags, seed, *place)).alias("style"), usable_context(tags["context"]).alias("context"),
+        *names, "tags", (prose_style(tags) if prose else plain_style(tags, seed, *place)).alias("style"), usable_context(tags["context"]).alias("context"),
         undo_hyphens(F.coalesce(tags["prompt"], F.lit(""))).alias("ask"), F.coalesce(tags["story"], F.lit("")).alias("output"), F.coalesce(tags["system suffix"], F.lit("")).alias("system"),
     )
     return base.select(
-        *keys, "system", "context", instruction(F.col("style"), F.col("ask")).alias("instruction"), "output",
+        *names, "system", "context", instruction(F.col("style"), F.col("ask")).alias("instruction"), "output",
         F.when(F.col("style") != "", length_bucket(F.col("output"))).otherwise("").alias("length"),
         token_estimate(F.col("style"), F.col("context"), F.col("ask"), F.col("output"), F.col("system")).alias("tokens"), "tags",
     )

@@ -127,3 +127,9 @@ def script_constants(scripts: DataFrame, text: str) -> tuple[DataFrame, DataFram
     places = each.filter(F.col("line").startswith(LOCATION_MARK) & ~F.col("line").startswith(LOCATION_LEGEND)).select(F.col("line").alias("location")).distinct()
     names = each.filter(F.col("line").startswith('@nm t="')).select(F.regexp_extract("line", r'^@nm t="([^"]*)', 1).alias("name")).distinct()
     return places, names
+
+
+def merged_constants(met: DataFrame, column: str, known: Mapping[str, str]) -> DataFrame:
+    """`(<column>, shown)`: the known translations, and what was met beside them, shown as it is."""
+    have = met.sparkSession.createDataFrame(list(known.items()), f"`{column}` string, shown string")
+    return have.unionByName(met.join(F.broadcast(have.select(column)), column, "left_anti").select(column, F.col(f"`{column}`").alias("shown")))  # a translation file the driver has read

@@ -198,9 +198,23 @@ def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.select("book", (F.col("i") + 1).cast("bigint").alias("i"), "paragraph")
 
 
-def _chunk_sql(most: int) -> str:
-    return f"""WITH {_PARAGRAPHS},
-  short AS (SELECT book, list_filter(parts, lambda p: {_tok('p')} <= {most - 1}) AS p FROM parts),
+def _short_sql(most: int) -> str:
+    return f"short AS (SELECT book, list_filter(parts, lambda p: {_tok('p')} <= {most - 1}) AS p FROM parts)"
+
+
+def _cut_sql(most: int) -> str:
+    """Paragraphs cut by a recursion over their tokens: after a full stop, else before a blank, else at the bound."""
+    at = most - 1
+    return rf"""tok AS (SELECT book, i, regexp_extract_all(parts[i], '\s?[\p{{L}}\p{{M}}]+|\s?\p{{N}}|\s?[^\s\p{{L}}\p{{M}}\p{{N}}]|\s') AS x FROM (SELECT book, parts, unnest(range(1, len(parts) + 1)) AS i FROM parts)),
+  cuts(book, i, x, k, a, b) AS (SELECT book, i, x, 0, 0::BIGINT, 0::BIGINT FROM tok UNION ALL
+    SELECT book, i, x, k + 1, b, CASE WHEN len(x) - b <= {at} THEN len(x) ELSE b + coalesce(list_max(list_filter(range(1, {at + 1}), lambda j: x[b + j] = '.' OR regexp_matches(x[b + j + 1], '^\s'))), {at}) END FROM cuts WHERE b < len(x)),
+  each_part AS (SELECT book, i, k, {_strip("array_to_string(x[a + 1:b], '')")} AS part FROM cuts WHERE k > 0),
+  short AS (SELECT book, coalesce(list(part ORDER BY i, k) FILTER (part <> ''), []) AS p FROM each_part GROUP BY book)"""
+
+
+def _chunk_sql(most: int, short: str) -> str:
+    return f"""WITH RECURSIVE {_PARAGRAPHS},
+  {short},
   packed AS (SELECT book, p, list_reduce(p, lambda s, x: CASE
       WHEN s.sum + {_tok('x')} + 1 < {most} THEN {{'sum': s.sum + {_tok('x')} + 1, 'n': s.n + 1, 'ids': list_append(s.ids, greatest(coalesce(s.ids[-1], 1), 1))}}
       ELSE {{'sum': {_tok('x')}, 'n': s.n + 1, 'ids': list_append(s.ids, coalesce(s.ids[-1], 0) + 1)}} END, {{'sum': 0::BIGINT, 'n': 0, 'ids': []::INT[]}}) AS s FROM short),
@@ -208,12 +222,12 @@ def _chunk_sql(most: int) -> str:
   SELECT book, ids[i]::BIGINT AS chunk_id, string_agg(p[i], chr(10) ORDER BY i) AS text FROM each GROUP BY book, ids[i]"""
 
 
-@query(_chunk_sql(CHUNK_TOKENS))
+@query(_chunk_sql(CHUNK_TOKENS, _short_sql(CHUNK_TOKENS)))
 def book_chunks_excluding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.book_chunks(table(spark, sf_dir, "books"), "book", "raw", CHUNK_TOKENS, exclude=True)
 
 
-@query()
+@query(_chunk_sql(CHUNK_TOKENS, _cut_sql(CHUNK_TOKENS)))
 def book_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.book_chunks(table(spark, sf_dir, "books"), "book", "raw", CHUNK_TOKENS)
 
@@ -447,8 +461,8 @@ def tag_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dataset_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     # draws depend on the record alone, so a row is the same in every subset
-    sized = _dataset(spark, sf_dir).select("record_id", F.col("tokens").cast("bigint").alias("tokens"))
-    return dataset.subset_totals(table(spark, sf_dir, "prompts").select("record_id", "root").join(sized, "record_id"), "root", "tokens")
+    made = rows.dataset_rows(table(spark, sf_dir, "prompts"), ["record_id"], keep=["root"])
+    return dataset.subset_totals(made.select("root", F.col("tokens").cast("bigint").alias("tokens")), "root", "tokens")
 
 
 # --- tags and names --------------------------------------------------------------------------------------------------
@@ -602,13 +616,56 @@ def result_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got
 
 
+def _answered(spark: SparkSession, sf_dir: str, reply=">Prompt: Write a scene\n>Tone: neutral") -> DataFrame:  # noqa: ANN001
+    chunks = files.with_record(table(spark, sf_dir, "raw_chunks"))
+    return generation.chunk_records(generation.ask_for_chunks(chunks, ["story", "chunk"], TEMPLATE, generation.StubClient(reply), seed=SEED))
+
+
 @query()
 def generate_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = files.with_record(table(spark, sf_dir, "raw_chunks"))
-    made = generation.chunk_records(generation.ask_for_chunks(chunks, ["story", "chunk"], TEMPLATE, generation.StubClient(), seed=SEED))
+    made = _answered(spark, sf_dir)
     return made.select("story", "chunk", "attempts", F.to_json(records.ordered(F.col("prompt")), {"ignoreNullFields": "false"}).alias("record"), "reason", "junk")
 
 
+_SPLIT_SQL = f"""rows AS (SELECT *, {_lines('raw')} AS l FROM halves), sizes AS (SELECT *, list_transform(l, lambda x: {_tok('x')}) AS size FROM rows),
+  cutat AS (SELECT *, list_reduce(range(1, len(l) + 1), lambda s, i: CASE
+      WHEN s.tb <= s.tf THEN {{'front': s.front, 'back': s.back + 1, 'tf': s.tf, 'tb': s.tb + size[len(l) - s.back]}}
+      ELSE {{'front': s.front + 1, 'back': s.back, 'tf': s.tf + size[s.front + 1], 'tb': s.tb}} END, {{'front': 0::BIGINT, 'back': 0::BIGINT, 'tf': 0::BIGINT, 'tb': 0::BIGINT}}).front AS cutpos FROM sizes)"""
+
+# the stub answers every request alike, with a prompt and a tone
+_GENERATED = f"""WITH known AS (SELECT story, chunk, raw, {_OBJECT} AS j FROM raw_chunks),
+  halves AS (SELECT *, coalesce(len(json_keys(j)), 0) > 0 AS holds, coalesce(list_contains(json_keys(j), 'story'), false) AS redone,
+    coalesce(len(json_keys(j)), 0) = 0 AND {_draw("'42'", "concat_ws('/', story, chunk)", "'continuation'")} < {C.CONTINUATION_RATE} AS split FROM known),
+  {_SPLIT_SQL},
+  told AS (SELECT story, chunk, j, holds, split,
+    CASE WHEN split THEN array_to_string(l[1:cutpos], chr(10)) ELSE coalesce(CASE WHEN redone THEN json_extract_string(j, '$.context') END, 'N/A') END AS before,
+    CASE WHEN split THEN array_to_string(l[cutpos + 1:], chr(10)) WHEN redone THEN json_extract_string(j, '$.story') WHEN NOT holds THEN raw END AS told FROM cutat),
+  asked AS (SELECT *, '>Story: ' || told || chr(10) || '>Context: ' || before || chr(10) || '>Language: English' AS request FROM told),
+  sent AS (SELECT *, {_tok('request')} + 600 <= 8192 AS fits, {_tok(_strip('told'))} + CASE WHEN split THEN {_tok(_strip('before'))} ELSE 0 END AS n FROM asked),
+  done AS (SELECT *, CASE WHEN fits AND request IS NOT NULL THEN 1 ELSE 0 END::BIGINT AS attempts FROM sent),
+  judged AS (SELECT *, CASE WHEN NOT fits THEN 'window' WHEN attempts = 0 THEN 'unanswered' WHEN NOT abs({C.IDEAL_TOKENS} - (n + ANSWER)) < {C.IDEAL_TOKENS} THEN 'length' END AS reason FROM done)"""
+
+
+@query(
+    _GENERATED.replace("ANSWER", "4")
+    + f""", keyed AS (SELECT *, list_concat({_list(C.KEY_ORDER)}, list_sort(list_filter(coalesce(json_keys(j), []), lambda k: k NOT IN {_in(C.KEY_ORDER)}))) AS keys FROM judged)
+  SELECT story, chunk, attempts, reason, CASE WHEN reason IS NULL THEN array_to_string(keys, '|') END AS keys,
+    CASE WHEN reason IS NULL THEN md5(array_to_string(list_transform(keys, lambda k: coalesce(CASE WHEN k = 'prompt' THEN 'Write a scene' WHEN k = 'tone' THEN 'neutral' WHEN k = 'story' THEN {_strip('told')}
+      WHEN k = 'context' AND split THEN {_strip('before')} ELSE json_extract_string(j, '$."' || k || '"') END, '<null>')), '|')) END AS digest FROM keyed"""
+)
+def generate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _answered(spark, sf_dir).withColumn("record", records.ordered(F.col("prompt")))
+    values = F.transform(F.map_values("record"), lambda v: F.coalesce(v, F.lit("<null>")))
+    return made.select("story", "chunk", "attempts", "reason", F.when(F.col("record").isNotNull(), F.array_join(F.map_keys("record"), "|")).alias("keys"), F.when(F.col("record").isNotNull(), F.md5(F.array_join(values, "|"))).alias("digest"))
+
+
+@query(_GENERATED.replace("ANSWER", "0") + " SELECT story, chunk, CASE WHEN fits AND request IS NOT NULL THEN 3 ELSE 0 END::BIGINT AS attempts, CASE WHEN NOT fits THEN 'window' WHEN attempts = 0 THEN 'unanswered' ELSE 'junk' END AS reason, CASE WHEN attempts = 0 THEN 0 ELSE 3 END::BIGINT AS n_junk FROM judged")
+def generate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a model whose every answer is junk: nothing is lost, each chunk comes back with the reason and the answers
+    made = _answered(spark, sf_dir, ">Prompt: x")
+    return made.filter("reason IS NOT NULL").select("story", "chunk", "attempts", "reason", F.size("junk").cast("bigint").alias("n_junk"))
+
+
 @query()
 def screenplays(spark: SparkSession, sf_dir: str) -> DataFrame:
     # screenplays of the corpus written back as scripts: speakers as name tags, speech in quotes

@@ -27,8 +27,8 @@ class Settings:
     def drop_override(self) -> None:
         self.override = None
 
-    def get(self, path: str) -> Any:
-        """The value at a dotted path; an error if no layer has it."""
+    def get(self, path: str, other: Any = _ABSENT) -> Any:
+        """The value at a dotted path; `other` if no layer has it, an error if that is not given."""
         for layer in (self.user if self.override is None else self.override, self.default):
             value: Any = layer
             for step in path.split("."):
@@ -37,6 +37,8 @@ class Settings:
                     break
             else:
                 return value
+        if other is not _ABSENT:
+            return other
         raise KeyError(f"no setting {path!r}")
 
 

@@ -139,3 +139,66 @@ def test_examples_grid_stories_scripts(spark, tree):
     (tree / "ks" / "a.ks").write_bytes(';◇◇◇：roof\n@nm t="Mia" s=1\n"Hi[np]"\n'.encode("utf-16"))
     cli.main(["chunk-scripts", str(tree / "ks"), str(tree / "ok"), "--max-tokens", "100"], spark)
     assert _json(tree / "ok")[0]["text"].endswith("MIA\nHi\n") and json.loads((tree / "ok_names.json").read_text()) == {"Mia": "Mia"}
+
+
+def test_chunk_files_and_maps(spark, tree):
+    (tree / "b").mkdir()
+    (tree / "b" / "one.txt").write_text("The first line of all.\nThe second line.\n" + "Long " * 60 + "end.\n")
+    cli.main(["chunk-books", str(tree / "b"), str(tree / "ob"), "--max-tokens", "30", "--files"], spark)
+    made = [(tree / "ob" / "one" / f"chunk_{k}.txt").read_text() for k in range(1, 4)]
+    assert made[0] == "The first line of all.\nThe second line." and " ".join(made).count("Long") <= 60
+    (tree / "ks").mkdir()
+    (tree / "ks" / "a.ks").write_bytes(';◇◇◇：roof\n@nm t="Mia" s=1\n"Hi *waves*[np]"\n'.encode("utf-16"))
+    (tree / "l.json").write_text(json.dumps({";◇◇◇：roof": "ROOF", ";◇◇◇：yard": "YARD"}, ensure_ascii=False))
+    (tree / "n.json").write_text('{"Ann": "ANNE"}')
+    cli.main(["chunk-scripts", str(tree / "ks"), str(tree / "ok"), "--max-tokens", "100", "--files", "--locations", str(tree / "l.json"), "--names", str(tree / "n.json")], spark)
+    assert (tree / "ok" / "roleplay" / "a" / "chunk_0.txt").read_text().startswith("ROOF\n")
+    assert json.loads((tree / "ok_locations.json").read_text()) == {";◇◇◇：roof": "ROOF", ";◇◇◇：yard": "YARD"}
+    assert json.loads((tree / "ok_names.json").read_text()) == {"Ann": "ANNE", "Mia": "Mia"}
+
+
+def test_template_results_are_not_written_twice(spark, tree):
+    (tree / "t.txt").write_text("{a}")
+    (tree / "t.replacements.json").write_text('{"a": ["1"]}')
+    args = ["test-template", str(tree / "og"), "--template", str(tree / "t.txt"), "--trials"]
+    for trials in ("1", "3", "3"):
+        cli.main([*args, trials], spark)
+    assert sorted(r["out_file"] for r in _json(tree / "og")) == [f"a0__trial{k}.txt" for k in range(3)]
+
+
+def test_finalize_takes_settings(spark, tmp_path):
+    for k in range(30):
+        (tmp_path / "r" / f"s{k}").mkdir(parents=True)
+        record = {"prompt": "p", "story": TEXT, "tone": "wry", "pacing": "slow", "similar writers": "Ann Lee", "author": ""}
+        (tmp_path / "r" / f"s{k}" / "1.json").write_text(json.dumps(record))
+    (tmp_path / "d.toml").write_text("[prompt_format]\ntag_drop_rate = 1.0\ndroppable_tags = ['tone']\nvalidation_set_size = 0.2\n[hacks]\nredistribute_authors = true\nuse_prose_styles = true\n")
+    (tmp_path / "u.toml").write_text("[prompt_format]\nvalidation_set_size = 0.5\n")
+    args = ["finalize", str(tmp_path / "r"), "--out", str(tmp_path / "o"), "--defaults", str(tmp_path / "d.toml"), "--settings", str(tmp_path / "u.toml")]
+    cli.main(args, spark)
+    kept, held = _json(tmp_path / "o" / "dataset_r"), _json(tmp_path / "o" / "dataset_r_val")
+    assert (len(kept), len(held)) == (15, 15)
+    assert all("Tone" not in r["instruction"] and "slow pacing" in r["instruction"] for r in kept)
+
+
+def test_generate_takes_settings_and_dumps(spark, tree):
+    (tree / "t.txt").write_text(">Story: {story}\n>Context: {context}")
+    (tree / "u.toml").write_text('[prompt_gen]\ncontinuation_likelyhood = 0\n[prompt_format]\njson_key_order = ["story", "prompt"]\n')
+    cli.main(["generate", str(tree / "in"), str(tree / "o"), "--template", str(tree / "t.txt"), "--settings", str(tree / "u.toml"), "--answers", str(tree / "a"), "--extras", str(tree / "x")], spark)
+    made = [json.loads(r["record"]) for r in _json(tree / "o")]
+    assert len(made) == 6 and all(list(r)[:2] == ["story", "prompt"] and "context" not in r for r in made)
+    assert {r["answer"] for r in _json(tree / "a")} == {">Prompt: Write a scene\n>Tone: neutral"}
+    assert {(r["extras"]["zeta"]) for r in _json(tree / "x")} == {"z"}
+
+
+def test_chunks_of_pieces(spark, tree):
+    from sentencepiece import SentencePieceProcessor
+
+    model = "/opt/tokenizers/piece_bpe_32k.model"
+    own = SentencePieceProcessor(model_file=model)
+    text = "The quiet harbour kept every lantern. " * 3 + "\n" + "It was “unforgettable”, and nobody – not one – remembered the gardener   who had left " * 12 + "at last.\n"
+    (tree / "b").mkdir()
+    (tree / "b" / "one.txt").write_text(text)
+    cli.main(["chunk-books", str(tree / "b"), str(tree / "o"), "--max-tokens", "50", "--pieces", model], spark)
+    chunks = [r["text"] for r in sorted(_json(tree / "o"), key=lambda r: r["chunk_id"])]
+    assert len(chunks) > 4 and "".join("".join(chunks).split()) == "".join(text.split())
+    assert all(len(own.encode(p)) <= 51 for c in chunks for p in c.split("\n"))

@@ -1,6 +1,8 @@
 """Records, rows, tags, names, few-shot documents: hand-worked examples."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plotmill.operators import dataset, fewshot, generation, names, records, rows, tags
@@ -282,3 +284,39 @@ def test_pieces(spark):
     got = df.select("t", piece_count(F.col("t"), model).alias("n"), pieces(F.col("t"), model).alias("p")).withColumn("back", join_pieces(F.col("p"))).collect()
     assert got[0]["n"] == len(got[0]["p"]) > 3 and got[0]["back"] == "The quiet harbour."
     assert (got[1]["n"], got[1]["p"]) == (0, None) and got[2]["n"] == 0
+
+
+def test_events_of_a_stream():
+    lines = [b": ping\n", b'data: {"choices": [{"text": "a"}]}\n', b"\n", b'data: {"choices":\n', b'data: [{"text": "b"}]}\n', b"\n", b"data: [DONE]\n", b"\n"]
+    assert "".join(e["choices"][0]["text"] for e in generation.events(lines)) == "ab"
+    assert list(generation.events([b'{"x": 1}'])) == [{"x": 1}] and list(generation.events([])) == []
+
+
+def test_a_request_over_the_window_is_an_error():
+    with pytest.raises(ValueError, match="longer than"):
+        generation.CompletionClient(window=20).complete("word " * 30, [], 0.1, 5)
+    assert generation.client("completion", "http://x", "p").preset == "p"
+
+
+def _plain_examples(text):
+    """The examples of a document, read line by line."""
+    out, cur = [], {}
+    last = None
+    for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+        if not line.strip():
+            out += [cur] if cur else []
+            cur = {}
+        elif line.startswith(">") and ":" in line:
+            last = line[1:].split(":", 1)[0].strip()
+            value = line.split(":", 1)[1]
+            cur[last] = value[1:] if value.startswith(" ") else value
+        elif cur:
+            cur[last] += "\n" + line
+    return out + ([cur] if cur else [])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet=">a: \n\t", max_size=40), min_size=20, max_size=20))
+def test_parse_against_reading_line_by_line(spark, texts):
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(fewshot.parse(F.col("t")).alias("e")).collect()
+    assert [[dict(m) for m in r["e"]] for r in got] == [_plain_examples(t) for t in texts]
