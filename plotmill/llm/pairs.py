@@ -19,7 +19,7 @@ NOTHINGS = frozenset(
 
 # Frequent words of each language that are rare or absent in the others.
 FUNCTION_WORDS = {
-    "en": "the and of to was were with that had she his her from at by an it for not only or but who what this is are when than near there you your about into every leaves turns named",
+    "en": "the and of to was were with that had she his her from at by an it for not only or but who what this is are when than near there you your about into every he they them their been where which between behind under over after before",
     "de": "der die das und den dem des ein eine einen einem einer nicht mit von im zum zur ist war hatte sich auf aber doch denn nach bei unter hinter ohne vor dass wird wie sie ihr wo",
     "fr": "le les des du une et est dans pour pas qui sur avec sous au aux elle mais était avait ce cette puis car près derrière sans avant que où ses la un",
     "es": "el los las del una y en con por para pero que su sus al como más fue era había desde sin junto antes tras cuando donde porque luego no muy la un lo",
