@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Sequence
 
@@ -86,7 +87,8 @@ def closest_subset(sizes: dict[int, int], target: float, total: int) -> dict[int
     """How many components of each size to take so that the sizes add up to as near `target` as possible.
 
     Subset sum over size multiplicities: bit s of a bitset says that sum s can be reached; each multiplicity is taken in
-    binary portions, and the bitset before each portion is kept to walk back. Sums are exact up to RESOLUTION records.
+    binary portions. To walk back, the bitset before each block of portions is kept and those within a block are reckoned
+    again, so that for n portions about 2 sqrt(n) bitsets are held. Sums are exact up to RESOLUTION records.
     """
     unit = max(1, -(-total // RESOLUTION))
     portions = []
@@ -97,18 +99,25 @@ def closest_subset(sizes: dict[int, int], target: float, total: int) -> dict[int
             portions.append((size, take, round(size * take / unit)))
             n -= take
             k *= 2
-    reach, trail = 1, []
     cap = (1 << (round(2 * target / unit) + 2)) - 1
-    for _, _, weight in portions:
-        trail.append(reach)
-        reach |= (reach << weight) & cap
+    step = math.isqrt(len(portions)) + 1
+    blocks = [portions[k : k + step] for k in range(0, len(portions), step)]
+    reach, before = 1, []
+    for block in blocks:
+        before.append(reach)
+        for _, _, weight in block:
+            reach |= (reach << weight) & cap
     want = round(target / unit)
     best = next(s for d in range(want + 1) for s in (want - d, want + d) if reach >> s & 1)
     taken: dict[int, int] = {}
-    for (size, take, weight), before in zip(reversed(portions), reversed(trail), strict=True):
-        if not before >> best & 1:
-            taken[size] = taken.get(size, 0) + take
-            best -= weight
+    for block, first in zip(reversed(blocks), reversed(before), strict=True):
+        trail = [first]
+        for _, _, weight in block[:-1]:
+            trail.append(trail[-1] | (trail[-1] << weight) & cap)
+        for (size, take, weight), held in zip(reversed(block), reversed(trail), strict=True):
+            if not held >> best & 1:
+                taken[size] = taken.get(size, 0) + take
+                best -= weight
     return taken
 
 
