@@ -27,6 +27,7 @@ def get_spark(app: str = "plotmill", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     for key, value in {**base, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
