@@ -16,7 +16,7 @@ import itertools
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +101,11 @@ _MARKS = str.maketrans({"(": " ", ")": " ", '"': " ", "“": " ", "”": " "})
 class Coder:
     """Code lengths of values under the counts of all words of the collection."""
 
-    def __init__(self, bins: np.ndarray):
+    def __init__(self, bins: np.ndarray | Mapping[int, int]):
+        if not isinstance(bins, np.ndarray):
+            given, bins = bins, np.zeros(WORD_BINS, np.int64)
+            for k, n in given.items():
+                bins[k] = n
         self.bins, self.total = bins, int(bins.sum()) + 1
         self.kept: dict[str, float] = {}
 
