@@ -170,3 +170,46 @@ def test_table(spark):
     kept = without_residue(df)
     assert kept.columns == df.columns and kept.count() == len(rows) - 2
     assert mark_residue(df.limit(0)).count() == 0 and without_residue(df.limit(0)).count() == 0
+
+
+def test_models_are_fitted_on_all_texts_of_a_table(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = sorted({*(_tale(rng, rng.randint(6, 14)) for _ in range(120)), *(_unseen(rng, k) for k in UNSEEN for _ in range(12)), "Dear {{name}}, " + STORY, " ".join(_tale(rng, 9) for _ in range(30))})
+    rng.shuffle(texts)
+    assert max(map(len, texts)) > residue.SAMPLE_LENGTH
+    whole = Models(fit(texts)).counts
+    monkeypatch.setattr(residue, "SAMPLE", 15)
+    df = spark.createDataFrame([(t,) for t in [*texts, *texts[:40], None, "", " "]], "body string").repartition(5)
+    got = residue._ship(df, "body").value.counts
+    assert got.keys() == whole.keys()
+    for kind, (at, n) in whole.items():
+        assert got[kind][0].tolist() == at.tolist() and got[kind][1].tolist() == n.tolist()
+
+
+def test_sentences_learnt_as_residue_do_not_teach_prose(spark):
+    # sentences that come back in short texts beside known residue, and texts made of them alone
+    rng = random.Random(7)
+    notes = ["Our ledger machine hit a snag, code 512.", "Gateway refused the link to shard 77.", "Fault 310: backend node 4 returned nothing."]
+    texts = [_tale(rng, 10) for _ in range(80)] + [f"404 Not Found. {a} {b} Please try again later." for a in notes for b in notes if a != b] + [f"{a} {b}" for a in notes for b in notes if a != b]
+    texts = sorted(set(texts))
+    want = Models(fit(texts)).counts
+    got = Models(residue.fit_table(spark.createDataFrame([(t,) for t in texts], "text string"))).counts
+    assert all(got[k][0].tolist() == at.tolist() and got[k][1].tolist() == n.tolist() for k, (at, n) in want.items())
+
+
+def test_tallies_are_the_same_in_parts(monkeypatch):
+    texts = [STORY, "x", STORY * 3, "{{name}}"]
+    whole = residue._count(texts)
+    monkeypatch.setattr(residue, "SCAN", 20)
+    tally = residue.Tally()
+    for t in texts:
+        tally.add("prose", t)
+    (part,) = tally.batches()
+    assert (residue._dense(part.column(1).to_numpy(), part.column(2).to_numpy()) == whole).all()
+
+
+def test_long_texts_not_judged_residue_tell_stories(localiser):
+    text = (STORY + " ") * 3 + "The sign over room 404 said the page was not found. " + (STORY + " ") * 2 + "Nobody in the orchard remembered the kettle."
+    assert localiser.windows([text])[0, 0] >= residue.WINDOW_BITS / 2 and localiser.judge(text)[0] is None
+    assert list(residue._lessons(localiser, [text], 100)) == []  # teaches what it holds, nothing is set aside
+    assert {use for use, _, _ in residue._lessons(localiser, [text], 1000)} == {"aside", "left", "open"}
